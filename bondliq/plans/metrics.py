@@ -11,6 +11,7 @@ from bondliq.operators.clean import exchange_clean, listed, otc_clean, otc_sides
 from bondliq.operators.counts import quote_counts
 from bondliq.operators.enforce import enforce, split_rejects
 from bondliq.operators.median import HOT_GROUP_ROWS, lower_median
+from bondliq.operators.pair_median import PAIR_CAP, pair_spread_medians, paired_keys
 from bondliq.operators.pairing import pair_sides
 
 
@@ -70,7 +71,11 @@ def quote_metrics(
         day_method = bond_method = method
     day = day_medians(s, day_method, day_bound)
     med = median_of_medians(day, bond_method, bond_bound)
-    cnt = quote_counts(s)
+    return _finish(bonds, quote_counts(s), med, on_null, name)
+
+
+def _finish(bonds: DataFrame, cnt: DataFrame, med: DataFrame, on_null: str, name: str) -> DataFrame:
+    """J3 + J4 + P3: bonds with counts (every quoted bond) and medians."""
     b = bonds.select("id", "isin")
     joined = (
         b.join(cnt, b["id"] == cnt["bond"], "inner")
@@ -89,10 +94,33 @@ def exchange_quotes(raw: DataFrame, bonds: DataFrame) -> DataFrame:
     return strict_quotes(listed(exchange_clean(raw), bonds), "exchange quotes")
 
 
-def otc_quotes(raw: DataFrame, bonds: DataFrame) -> DataFrame:
-    """Strict paired OTC quotes of listed bonds."""
-    bids, asks = otc_sides(listed(otc_clean(raw), bonds))
-    return strict_quotes(pair_sides(bids, asks), "otc quotes")
+def otc_listed_sides(raw: DataFrame, bonds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bids, asks) of listed bonds."""
+    return otc_sides(listed(otc_clean(raw), bonds))
+
+
+def otc_quotes(raw: DataFrame, bonds: DataFrame, pair_cap: int = PAIR_CAP) -> DataFrame:
+    """The literal paired OTC quotes (bid x ask rows)."""
+    bids, asks = otc_listed_sides(raw, bonds)
+    return strict_quotes(pair_sides(bids, asks, pair_cap), "otc quotes")
+
+
+def paired_quote_metrics(
+    bids: DataFrame,
+    asks: DataFrame,
+    bonds: DataFrame,
+    *,
+    median_method: str = "exact",
+    on_null: str = "raise",
+    name: str = "otc metrics",
+    pair_cap: int = PAIR_CAP,
+) -> DataFrame:
+    """C2 over bid x ask pairs without listing them: day medians from
+    ``pair_spread_medians``, counts from the keys present on both sides."""
+    day = pair_spread_medians(bids, asks, "median_of_tgs", pair_cap=pair_cap)
+    med = median_of_medians(day, median_method)
+    cnt = quote_counts(paired_keys(bids, asks))
+    return _finish(bonds, cnt, med, on_null, name)
 
 
 def exchange_metrics(raw: DataFrame, bonds: DataFrame, **kw) -> DataFrame:
@@ -102,4 +130,5 @@ def exchange_metrics(raw: DataFrame, bonds: DataFrame, **kw) -> DataFrame:
 
 def otc_metrics(raw: DataFrame, bonds: DataFrame, **kw) -> DataFrame:
     """C4."""
-    return quote_metrics(otc_quotes(raw, bonds), bonds, name="otc metrics", **kw)
+    bids, asks = otc_listed_sides(raw, bonds)
+    return paired_quote_metrics(bids, asks, bonds, **kw)

@@ -57,7 +57,7 @@ class Inputs:
         return met.quote_metrics(self.exchange(), self.bonds(), name="exchange metrics")
 
     def otc_metrics(self) -> DataFrame:
-        return met.quote_metrics(self.otc(), self.bonds(), name="otc metrics")
+        return met.otc_metrics(fx.otc_quotes_raw(self.spark, self.sf), self.bonds())
 
     def merged(self, anchor: str = fx.ANCHOR_DATE) -> DataFrame:
         return liq.merged_metrics(self.tsq_metrics(), self.otc_metrics(), self.bonds(), anchor)
