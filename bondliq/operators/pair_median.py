@@ -87,7 +87,9 @@ def weighted_lower_median(
 
 
 def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str) -> DataFrame:
-    pairs = bids_v.withColumnRenamed("w", "wb").join(asks_v.withColumnRenamed("w", "wa"), KEY, "inner")
+    b = bids_v.withColumnRenamed("w", "wb")
+    a = asks_v.withColumnRenamed("w", "wa")
+    pairs = b.join(a, KEY, "inner")
     spreads = pairs.select(*GROUP, relative_spread("bid", "ask").alias("_s"), (F.col("wb") * F.col("wa")).alias("_w"))
     return weighted_lower_median(spreads, GROUP, "_s", "_w", alias)
 
@@ -191,16 +193,30 @@ def pair_spread_medians(
     thresholds: int = THRESHOLDS,
     max_rounds: int = MAX_ROUNDS,
     partitions: int | None = None,
+    bounds: dict | None = None,
+    keys_out: list | None = None,
 ) -> DataFrame:
     """(bond, date, ``alias``) over all bid x ask pairs of each day.
 
     ``bids``: (bond, prov, date, bid), ``asks``: (bond, prov, date, ask),
-    prices > 0 (OTC cleaning guarantees it).
+    prices > 0 (OTC cleaning guarantees it). ``bounds`` receives the largest
+    distinct-pair count of a day and the most days of a bond (from the one
+    sizing job), so a caller can size the next median level without
+    another job; ``keys_out`` receives the paired-key table (bond, prov,
+    date, k, m, ...) built on the same side aggregations.
     """
     parts = partitions or int(bids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
-    _, groups = pair_stats(bids_v, asks_v)
-    largest = groups.agg(F.max("d").alias("d")).first()["d"] or 0
+    keys, groups = pair_stats(bids_v, asks_v)
+    if keys_out is not None:
+        keys_out.append(keys)
+    sizes = (
+        groups.groupBy("bond").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("days"))
+        .agg(F.max("d").alias("d"), F.max("days").alias("days")).first()
+    )
+    largest = sizes["d"] or 0
+    if bounds is not None:
+        bounds.update(largest_day_pairs=int(largest), most_days=int(sizes["days"] or 0))
     if largest <= pair_cap:
         return _light(bids_v, asks_v, alias)
     light_groups = groups.where(F.col("d") <= pair_cap).select(*GROUP)

@@ -11,7 +11,7 @@ from bondliq.operators.clean import exchange_clean, listed, otc_clean, otc_sides
 from bondliq.operators.counts import quote_counts
 from bondliq.operators.enforce import enforce, split_rejects
 from bondliq.operators.median import HOT_GROUP_ROWS, lower_median
-from bondliq.operators.pair_median import PAIR_CAP, pair_spread_medians, paired_keys
+from bondliq.operators.pair_median import PAIR_CAP, pair_spread_medians
 from bondliq.operators.pairing import pair_sides
 
 
@@ -65,8 +65,8 @@ def quote_metrics(
     if median_method == "exact":
         day_bound, bond_bound = group_bounds(s)
         # choose per level; both plans are exact
-        day_method = "hash" if day_bound <= hot_rows else "split"
-        bond_method = "hash" if bond_bound <= hot_rows else "split"
+        day_method = "window" if day_bound <= hot_rows else "split"
+        bond_method = "window" if bond_bound <= hot_rows else "split"
     else:
         day_method = bond_method = method
     day = day_medians(s, day_method, day_bound)
@@ -117,9 +117,16 @@ def paired_quote_metrics(
 ) -> DataFrame:
     """C2 over bid x ask pairs without listing them: day medians from
     ``pair_spread_medians``, counts from the keys present on both sides."""
-    day = pair_spread_medians(bids, asks, "median_of_tgs", pair_cap=pair_cap)
-    med = median_of_medians(day, median_method)
-    cnt = quote_counts(paired_keys(bids, asks))
+    bounds: dict = {}
+    keys: list = []
+    day = pair_spread_medians(bids, asks, "median_of_tgs", pair_cap=pair_cap, bounds=bounds, keys_out=keys)
+    if median_method == "exact":
+        # a bond has at most `most_days` day medians
+        med = median_of_medians(day, "exact", bounds["most_days"])
+    else:
+        med = median_of_medians(day, median_method)
+    # keys present on both sides, from the same side aggregations
+    cnt = quote_counts(keys[0].select("bond", "prov", "date"))
     return _finish(bonds, cnt, med, on_null, name)
 
 

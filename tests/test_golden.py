@@ -23,7 +23,7 @@ def _by_id(df):
     return {r["id"]: r.asDict() for r in df.collect()}
 
 
-@pytest.mark.parametrize("method", ["exact", "hash", "split"])
+@pytest.mark.parametrize("method", ["exact", "window", "aggregate", "split"])
 def test_market_metrics(spark, method):
     _, tsq, otc = _run(spark, median_method=method)
     t, o = _by_id(tsq), _by_id(otc)

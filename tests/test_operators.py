@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from bondliq.functions.spread import relative_spread
 from bondliq.operators.dedupe import dedupe_by_key
-from bondliq.operators.median import lower_median, median_hash, median_split
+from bondliq.operators.median import lower_median, median_aggregate, median_split, median_window
 from bondliq.operators.position import global_position, window_position
 
 
@@ -44,7 +44,7 @@ def _expected(rows):
     return {k: lower_median_py(v) for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("method", ["hash", "split", "exact"])
+@pytest.mark.parametrize("method", ["window", "aggregate", "split", "exact"])
 def test_lower_median_matches_brute_force(spark, method):
     rows, df = _groups_frame(spark)
     got = {(r["g"], r["d"]): r["m"] for r in lower_median(df, ["g", "d"], "v", "m", method=method).collect()}
@@ -66,7 +66,7 @@ def test_exact_switches_to_split_for_hot_groups(spark):
 
 def test_even_count_takes_lower_element(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 3.0), (1, 4.0)], "g long, v double")
-    for fn in (median_hash, median_split):
+    for fn in (median_window, median_aggregate, median_split):
         assert fn(df, ["g"], "v", "m").first()["m"] == 2.0
 
 
