@@ -21,9 +21,14 @@ def with_audit(df: DataFrame, column: str = "upsert_time") -> DataFrame:
     return df.withColumn(column, F.current_timestamp())
 
 
-def write_full_refresh(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K1: replace the whole market-metrics table (truncate + insert)."""
-    df.select(*METRICS_COLUMNS).write.mode("overwrite").format(fmt).option("header", "true").save(path)
+def write_full_refresh(df: DataFrame, path: str, fmt: str = "parquet", keep: tuple[str, ...] = ()) -> None:
+    """K1: replace the whole market-metrics table (truncate + insert).
+
+    The new version is written in full before it replaces the old one in
+    the same path, as Spark's overwrite does; ``keep`` adds extra columns
+    (e.g. the audit column).
+    """
+    df.select(*METRICS_COLUMNS, *keep).write.mode("overwrite").format(fmt).option("header", "true").save(path)
 
 
 def write_replace_date(df: DataFrame, path: str, date_col: str = "anchor_date") -> None:

@@ -1 +1 @@
-"""Streaming entry points (see ``daily_trigger``)."""
+"""File-triggered daily runs on Structured Streaming (see ``daily_trigger``)."""
