@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bondliq.session import materialize
+
 _P = "_cw_p"
 
 
@@ -33,10 +35,8 @@ def cumulative_within(
     keys, sums = list(keys), list(sums)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = (
-        df.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
-        .withColumn(_P, F.spark_partition_id())
-        .checkpoint(eager=True)
+    r = materialize(
+        df.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn(_P, F.spark_partition_id())
     )
     seg = Window.partitionBy(*keys, _P).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = r.select("*", *[F.sum(c).over(seg).alias(f"_run_{c}") for c in sums])

@@ -34,6 +34,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bondliq.session import materialize
+
 # Largest group (non-null values) one task ranks in the window plan.
 HOT_GROUP_ROWS = 1_000_000
 
@@ -84,10 +86,8 @@ def median_split(
     # pre-aggregate: ties collapse map-side, every (group, value) is one row
     w = x.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     # range split on (group, value); the checkpoint fixes the split
-    r = (
-        w.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
-        .withColumn("_p", F.spark_partition_id())
-        .checkpoint(eager=True)
+    r = materialize(
+        w.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v")).withColumn("_p", F.spark_partition_id())
     )
     seg = Window.partitionBy(*keys, "_p")
     run = r.withColumn(

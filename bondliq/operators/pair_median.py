@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from bondliq.functions.spread import relative_spread
 from bondliq.operators.cumulative import cumulative_within
+from bondliq.session import materialize
 
 # Distinct bid x ask value pairs of one day group listed at once.
 PAIR_CAP = 1_000_000
@@ -110,11 +111,11 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         F.lit(1).cast("long").alias("_ad"),
     )
     # bracket (lo, hi] in ratio space with c(lo) = 0 and c(hi) = n
-    state = groups.select(
+    state = materialize(groups.select(
         *GROUP, F.floor((F.col("n") + 1) / 2).alias("r"),
         (F.col("rmin") / 2).alias("lo"), (F.col("rmax") * 2).alias("hi"),
         F.lit(0).cast("long").alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
-    ).checkpoint(eager=True)
+    ))
     for _ in range(max_rounds):
         active = state.where((F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck"))
         if active.isEmpty():
@@ -149,7 +150,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         nxt = nxt.withColumn(
             "stuck", F.col("stuck") | ((F.col("lo") == F.col("_lo0")) & (F.col("hi") == F.col("_hi0")))
         ).drop("_lo0", "_hi0")
-        state = nxt.checkpoint(eager=True)
+        state = materialize(nxt)
 
     # final pass: ask positions of each bid's bracket (lo, hi]
     ends = bh.join(state.select(*GROUP, "lo", "hi"), GROUP)

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bondliq.session import materialize
+
 _PID, _IDX, _OFF, _CNT = "_gp_pid", "_gp_idx", "_gp_off", "_gp_cnt"
 
 
@@ -33,13 +35,12 @@ def global_position(
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pid = F.spark_partition_id()
-    numbered = (
+    numbered = materialize(
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn(_PID, pid)
         # monotonically_increasing_id = (partition index << 33) + row index in partition
         .withColumn(_IDX, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-        .checkpoint(eager=True)
     )
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     # a window over at most `parts` rows

@@ -13,6 +13,7 @@ from bondliq.operators.enforce import enforce
 from bondliq.operators.merge import coverage_merge, global_aggs, merge_metrics, with_global_aggs
 from bondliq.operators.position import global_position, window_position
 from bondliq.operators.weights import weights_dict
+from bondliq.session import materialize
 
 # Widest spread first, unknown spread last; W2: smallest volume first,
 # unknown volume first (ranks worst). Ties go to the lower id.
@@ -24,10 +25,20 @@ def volume_order():
     return [F.col("usd_volume").asc_nulls_first(), F.col("id").asc()]
 
 
-def merged_metrics(tsq: DataFrame, otc: DataFrame, bonds: DataFrame, anchor: str) -> DataFrame:
+def merged_metrics(
+    tsq: DataFrame, otc: DataFrame, bonds: DataFrame, anchor: str, checkpoint_merged: bool = True
+) -> DataFrame:
     """J5 + D3 + X2-X5 + D4 + A5 + J6: one row per covered bond with the
-    per-date aggregates attached."""
+    per-date aggregates attached.
+
+    With ``checkpoint_merged`` the merged table (one row per bond) is checkpointed
+    to the shared folder before it is read three times (aggregates, and the
+    two range splits, which sample their input before shuffling it); without
+    it every reader would recompute the quote aggregations.
+    """
     merged = merge_metrics(coverage_merge(bonds, tsq, otc), anchor)
+    if checkpoint_merged:
+        merged = materialize(merged)
     return with_global_aggs(merged, global_aggs(merged))
 
 

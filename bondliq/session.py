@@ -53,3 +53,10 @@ def staging_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Checkpoint ``df`` into the shared folder (reliable, not local): cuts the
+    lineage and fixes nondeterministic splits for every later reader."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
