@@ -34,10 +34,9 @@ def cumulative_within(
     an arbitrary order, so give tied rows zero weight or a total order)."""
     keys, sums = list(keys), list(sums)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = materialize(
-        df.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn(_P, F.spark_partition_id())
-    )
+    cols = [*[F.col(k) for k in keys], *order]
+    split = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    r = materialize(split.withColumn(_P, F.spark_partition_id()))
     seg = Window.partitionBy(*keys, _P).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = r.select("*", *[F.sum(c).over(seg).alias(f"_run_{c}") for c in sums])
     seg_tot = r.groupBy(*keys, _P).agg(*[F.sum(c).alias(f"_seg_{c}") for c in sums])

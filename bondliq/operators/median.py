@@ -40,10 +40,6 @@ from bondliq.session import materialize
 HOT_GROUP_ROWS = 1_000_000
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def max_group_size(df: DataFrame, keys: Sequence[str], value: str) -> int:
     """Largest number of non-null ``value`` rows in one group (one small job)."""
     sizes = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -81,19 +77,18 @@ def median_split(
 ) -> DataFrame:
     """Exact lower median that splits hot groups into value ranges."""
     keys = list(keys)
-    parts = partitions or _partitions(df)
     x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     # pre-aggregate: ties collapse map-side, every (group, value) is one row
     w = x.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     # range split on (group, value); the checkpoint fixes the split
-    r = materialize(
-        w.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v")).withColumn("_p", F.spark_partition_id())
-    )
+    cols = [*[F.col(k) for k in keys], F.col("_v")]
+    split = w.repartitionByRange(partitions, *cols) if partitions else w.repartitionByRange(*cols)
+    r = materialize(split.withColumn("_p", F.spark_partition_id()))
     seg = Window.partitionBy(*keys, "_p")
     run = r.withColumn(
         "_run", F.sum("_c").over(seg.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    # one row per segment: a group has at most `parts` segments
+    # one row per segment: a group has at most one segment per partition
     segs = r.groupBy(*keys, "_p").agg(F.sum("_c").alias("_seg"))
     grp = Window.partitionBy(*keys)
     before = F.coalesce(

@@ -95,7 +95,7 @@ def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str) -> DataFrame:
     return weighted_lower_median(spreads, GROUP, "_s", "_w", alias)
 
 
-def _lookup(asks_u: DataFrame, probes: DataFrame, parts: int) -> DataFrame:
+def _lookup(asks_u: DataFrame, probes: DataFrame, parts: int | None) -> DataFrame:
     """Per probe (and per ask), cumulative ask weight ``cum__aw`` and ask count
     ``cum__ad`` of its key up to its value (asks first on equal values)."""
     u = asks_u.unionByName(probes, allowMissingColumns=True)
@@ -103,7 +103,7 @@ def _lookup(asks_u: DataFrame, probes: DataFrame, parts: int) -> DataFrame:
 
 
 def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str, *,
-           pair_cap: int, thresholds: int, max_rounds: int, parts: int) -> DataFrame:
+           pair_cap: int, thresholds: int, max_rounds: int, parts: int | None) -> DataFrame:
     gsel = groups.select(*GROUP)
     bh = bids_v.join(gsel, GROUP, "left_semi").select(*KEY, "bid", F.col("w").alias("_bw"))
     asks_u = asks_v.join(gsel, GROUP, "left_semi").select(
@@ -206,7 +206,7 @@ def pair_spread_medians(
     another job; ``keys_out`` receives the paired-key table (bond, prov,
     date, k, m, ...) built on the same side aggregations.
     """
-    parts = partitions or int(bids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions
     bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
     keys, groups = pair_stats(bids_v, asks_v)
     if keys_out is not None:

@@ -33,17 +33,19 @@ def global_position(
     to be repeatable; ties are otherwise numbered in an arbitrary order, as
     ``row_number`` does.
     """
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pid = F.spark_partition_id()
+    # without an explicit count adaptive execution may merge neighbouring
+    # ranges (order is kept); the index is read in the same materialised stage
+    split = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     numbered = materialize(
-        df.repartitionByRange(parts, *order)
+        split
         .sortWithinPartitions(*order)
         .withColumn(_PID, pid)
         # monotonically_increasing_id = (partition index << 33) + row index in partition
         .withColumn(_IDX, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     )
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    # a window over at most `parts` rows
+    # a window over one row per partition
     offsets = counts.select(
         _PID,
         F.coalesce(
