@@ -36,13 +36,14 @@ from pyspark.sql import functions as F
 
 from bondliq.session import materialize
 
-# Largest group (non-null values) one task ranks in the window plan.
+# Largest group (rows) one task ranks in the window plan.
 HOT_GROUP_ROWS = 1_000_000
 
 
 def max_group_size(df: DataFrame, keys: Sequence[str], value: str) -> int:
-    """Largest number of non-null ``value`` rows in one group (one small job)."""
-    sizes = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    """Largest number of rows in one group, nulls included: the window plan
+    ranks every row of a group in one task (one small job)."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     row = sizes.agg(F.max("_n").alias("m")).first()
     return int(row["m"] or 0)
 

@@ -220,9 +220,11 @@ def pair_spread_medians(
         bounds.update(largest_day_pairs=int(largest), most_days=int(sizes["days"] or 0))
     if largest <= pair_cap:
         return _light(bids_v, asks_v, alias)
-    light_groups = groups.where(F.col("d") <= pair_cap).select(*GROUP)
     heavy_groups = groups.where(F.col("d") > pair_cap)
-    light = _light(bids_v.join(light_groups, GROUP, "left_semi"), asks_v, alias)
+    # both sides drop the heavy days before the pair join, so a hot day never
+    # reaches that shuffle (anti join: broadcast when small, else skew-split)
+    heavy_keys = heavy_groups.select(*GROUP)
+    light = _light(bids_v.join(heavy_keys, GROUP, "left_anti"), asks_v.join(heavy_keys, GROUP, "left_anti"), alias)
     heavy = _heavy(bids_v, asks_v, heavy_groups, alias, pair_cap=pair_cap, thresholds=thresholds,
                    max_rounds=max_rounds, parts=parts)
     return light.unionByName(heavy)

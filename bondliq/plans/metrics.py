@@ -21,13 +21,9 @@ def spreads(quotes: DataFrame) -> DataFrame:
 
 
 def group_bounds(spread_rows: DataFrame) -> tuple[int, int]:
-    """Largest day group (spread rows of one bond and day) and largest bond
-    (days with a spread) in one small job; they choose the median plan."""
-    day = (
-        spread_rows.where(F.col("ba_spread").isNotNull())
-        .groupBy("bond", "date")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Largest day group (quote rows of one bond and day) and largest bond
+    (quoted days) in one small job; they choose the median plan."""
+    day = spread_rows.groupBy("bond", "date").agg(F.count(F.lit(1)).alias("n"))
     per_bond = day.groupBy("bond").agg(F.count(F.lit(1)).alias("d"), F.max("n").alias("n"))
     row = per_bond.agg(F.max("n").alias("n"), F.max("d").alias("d")).first()
     return int(row["n"] or 0), int(row["d"] or 0)
