@@ -185,40 +185,32 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
     return picked.unionByName(tied)
 
 
-def pair_spread_medians(
-    bids: DataFrame,
-    asks: DataFrame,
+def pair_profile(keys: DataFrame, groups: DataFrame) -> DataFrame:
+    """Per bond: providers_cnt and qdays_cnt over keys present on both sides
+    (A3, A4), and the largest distinct-pair count of one of its days."""
+    per_day = groups.groupBy("bond").agg(
+        F.count(F.lit(1)).cast("bigint").alias("qdays_cnt"), F.max("d").alias("max_day_pairs")
+    )
+    per_prov = keys.groupBy("bond", "prov").agg(F.sum("k").alias("k")).groupBy("bond").agg(
+        F.count(F.lit(1)).cast("bigint").alias("providers_cnt")
+    )
+    return per_day.join(per_prov, "bond")
+
+
+def day_medians_from_values(
+    bids_v: DataFrame,
+    asks_v: DataFrame,
+    groups: DataFrame,
+    largest_day_pairs: int,
     alias: str = "median_of_tgs",
     *,
     pair_cap: int = PAIR_CAP,
     thresholds: int = THRESHOLDS,
     max_rounds: int = MAX_ROUNDS,
     partitions: int | None = None,
-    bounds: dict | None = None,
-    keys_out: list | None = None,
 ) -> DataFrame:
-    """(bond, date, ``alias``) over all bid x ask pairs of each day.
-
-    ``bids``: (bond, prov, date, bid), ``asks``: (bond, prov, date, ask),
-    prices > 0 (OTC cleaning guarantees it). ``bounds`` receives the largest
-    distinct-pair count of a day and the most days of a bond (from the one
-    sizing job), so a caller can size the next median level without
-    another job; ``keys_out`` receives the paired-key table (bond, prov,
-    date, k, m, ...) built on the same side aggregations.
-    """
-    parts = partitions
-    bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
-    keys, groups = pair_stats(bids_v, asks_v)
-    if keys_out is not None:
-        keys_out.append(keys)
-    sizes = (
-        groups.groupBy("bond").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("days"))
-        .agg(F.max("d").alias("d"), F.max("days").alias("days")).first()
-    )
-    largest = sizes["d"] or 0
-    if bounds is not None:
-        bounds.update(largest_day_pairs=int(largest), most_days=int(sizes["days"] or 0))
-    if largest <= pair_cap:
+    """Day medians from side values and day stats (see ``pair_spread_medians``)."""
+    if largest_day_pairs <= pair_cap:
         return _light(bids_v, asks_v, alias)
     heavy_groups = groups.where(F.col("d") > pair_cap)
     # both sides drop the heavy days before the pair join, so a hot day never
@@ -226,10 +218,32 @@ def pair_spread_medians(
     heavy_keys = heavy_groups.select(*GROUP)
     light = _light(bids_v.join(heavy_keys, GROUP, "left_anti"), asks_v.join(heavy_keys, GROUP, "left_anti"), alias)
     heavy = _heavy(bids_v, asks_v, heavy_groups, alias, pair_cap=pair_cap, thresholds=thresholds,
-                   max_rounds=max_rounds, parts=parts)
+                   max_rounds=max_rounds, parts=partitions)
     return light.unionByName(heavy)
 
 
+def pair_spread_medians(
+    bids: DataFrame,
+    asks: DataFrame,
+    alias: str = "median_of_tgs",
+    *,
+    pair_cap: int = PAIR_CAP,
+    thresholds: int = THRESHOLDS,
+    max_rounds: int = MAX_ROUNDS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """(bond, date, ``alias``) over all bid x ask pairs of each day.
+
+    ``bids``: (bond, prov, date, bid), ``asks``: (bond, prov, date, ask),
+    prices > 0 (OTC cleaning guarantees it). One small job sizes the days.
+    """
+    bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
+    _, groups = pair_stats(bids_v, asks_v)
+    largest = groups.agg(F.max("d").alias("d")).first()["d"] or 0
+    return day_medians_from_values(bids_v, asks_v, groups, largest, alias, pair_cap=pair_cap,
+                                   thresholds=thresholds, max_rounds=max_rounds, partitions=partitions)
+
+
 def paired_keys(bids: DataFrame, asks: DataFrame) -> DataFrame:
     """(bond, prov, date) present on both sides: the keys that yield pairs."""
     b = bids.select(*KEY).distinct()

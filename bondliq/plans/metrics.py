@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from bondliq import schemas
 from bondliq.functions.spread import relative_spread
 from bondliq.operators.clean import exchange_clean, listed, otc_clean, otc_sides, strict_quotes
-from bondliq.operators.counts import quote_counts
 from bondliq.operators.enforce import enforce, split_rejects
 from bondliq.operators.median import HOT_GROUP_ROWS, lower_median
-from bondliq.operators.pair_median import PAIR_CAP, pair_spread_medians
+from bondliq.operators.pair_median import (
+    PAIR_CAP,
+    day_medians_from_values,
+    pair_profile,
+    pair_stats,
+    side_values,
+)
 from bondliq.operators.pairing import pair_sides
+from bondliq.session import materialize
 
 
 def spreads(quotes: DataFrame) -> DataFrame:
@@ -20,12 +26,27 @@ def spreads(quotes: DataFrame) -> DataFrame:
     return quotes.select("bond", "prov", "date", relative_spread("bid", "ask").alias("ba_spread"))
 
 
-def group_bounds(spread_rows: DataFrame) -> tuple[int, int]:
-    """Largest day group (quote rows of one bond and day) and largest bond
-    (quoted days) in one small job; they choose the median plan."""
-    day = spread_rows.groupBy("bond", "date").agg(F.count(F.lit(1)).alias("n"))
-    per_bond = day.groupBy("bond").agg(F.count(F.lit(1)).alias("d"), F.max("n").alias("n"))
-    row = per_bond.agg(F.max("n").alias("n"), F.max("d").alias("d")).first()
+def quote_profile(spread_rows: DataFrame) -> DataFrame:
+    """Per bond: providers_cnt, qdays_cnt (A3, A4) and the largest day group.
+
+    One aggregation tree over (bond, date, prov) rows, partial at every level:
+    the (bond, date) branch gives quoted days and day-group sizes, the
+    (bond, prov) branch distinct providers; both read the same first-level
+    aggregate (one scan, its shuffle reused).
+    """
+    level = spread_rows.groupBy("bond", "date", "prov").agg(F.count(F.lit(1)).alias("rows"))
+    days = level.groupBy("bond", "date").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("provs"))
+    per_day = days.groupBy("bond").agg(
+        F.count(F.lit(1)).cast("bigint").alias("qdays_cnt"), F.max("rows").alias("max_day_rows")
+    )
+    provs = level.groupBy("bond", "prov").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("days"))
+    per_prov = provs.groupBy("bond").agg(F.count(F.lit(1)).cast("bigint").alias("providers_cnt"))
+    return per_day.join(per_prov, "bond")
+
+
+def profile_bounds(profile: DataFrame) -> tuple[int, int]:
+    """(largest day group, most quoted days of a bond) from a profile."""
+    row = profile.agg(F.max("max_day_rows").alias("n"), F.max("qdays_cnt").alias("d")).first()
     return int(row["n"] or 0), int(row["d"] or 0)
 
 
@@ -56,18 +77,19 @@ def quote_metrics(
     the job (the production schema says non-null), ``reject`` drops the bond.
     """
     s = spreads(quotes)
-    day_bound = bond_bound = None
-    method = median_method
+    # one job: counts and group sizes per bond, kept (one row per bond) so the
+    # median job below is the only other pass over the quotes
+    profile = materialize(quote_profile(s))
+    day_bound, bond_bound = profile_bounds(profile)
     if median_method == "exact":
-        day_bound, bond_bound = group_bounds(s)
         # choose per level; both plans are exact
         day_method = "window" if day_bound <= hot_rows else "split"
         bond_method = "window" if bond_bound <= hot_rows else "split"
     else:
-        day_method = bond_method = method
+        day_method = bond_method = median_method
     day = day_medians(s, day_method, day_bound)
     med = median_of_medians(day, bond_method, bond_bound)
-    return _finish(bonds, quote_counts(s), med, on_null, name)
+    return _finish(bonds, profile.select("bond", "providers_cnt", "qdays_cnt"), med, on_null, name)
 
 
 def _finish(bonds: DataFrame, cnt: DataFrame, med: DataFrame, on_null: str, name: str) -> DataFrame:
@@ -110,20 +132,26 @@ def paired_quote_metrics(
     on_null: str = "raise",
     name: str = "otc metrics",
     pair_cap: int = PAIR_CAP,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """C2 over bid x ask pairs without listing them: day medians from
-    ``pair_spread_medians``, counts from the keys present on both sides."""
-    bounds: dict = {}
-    keys: list = []
-    day = pair_spread_medians(bids, asks, "median_of_tgs", pair_cap=pair_cap, bounds=bounds, keys_out=keys)
+    """C2 over bid x ask pairs without listing them.
+
+    One job builds the per-bond profile (providers and days over keys present
+    on both sides, largest day) from the side values and keeps it; the day
+    medians come from ``pair_median`` and the bond medians from the usual
+    lower median over days.
+    """
+    bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
+    keys, groups = pair_stats(bids_v, asks_v)
+    profile = materialize(pair_profile(keys, groups))
+    row = profile.agg(F.max("max_day_pairs").alias("d"), F.max("qdays_cnt").alias("days")).first()
+    largest, most_days = int(row["d"] or 0), int(row["days"] or 0)
+    day = day_medians_from_values(bids_v, asks_v, groups, largest, "median_of_tgs", pair_cap=pair_cap)
     if median_method == "exact":
-        # a bond has at most `most_days` day medians
-        med = median_of_medians(day, "exact", bounds["most_days"])
+        med = median_of_medians(day, "window" if most_days <= hot_rows else "split", most_days)
     else:
         med = median_of_medians(day, median_method)
-    # keys present on both sides, from the same side aggregations
-    cnt = quote_counts(keys[0].select("bond", "prov", "date"))
-    return _finish(bonds, cnt, med, on_null, name)
+    return _finish(bonds, profile.select("bond", "providers_cnt", "qdays_cnt"), med, on_null, name)
 
 
 def exchange_metrics(raw: DataFrame, bonds: DataFrame, **kw) -> DataFrame:
