@@ -25,3 +25,8 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     payload = [*order, *rest]
     best = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in payload])).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*df.columns)
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, with their count (for reporting)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)

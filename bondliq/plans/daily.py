@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from bondliq.operators.clean import strict_bonds
+from bondliq.operators.dedupe import dedupe_by_key
 from bondliq.plans.liquidity import liquidity_table
 from bondliq.plans.metrics import exchange_metrics, otc_metrics
 from bondliq.sinks.tables import with_audit, write_full_refresh, write_replace_date
@@ -34,6 +35,12 @@ def outputs(root: str) -> DayOutputs:
     return DayOutputs(f"{root}/tsq_metrics", f"{root}/otc_metrics", f"{root}/metrics_merged_with_ranks")
 
 
+# Table keys and the stated order that picks the kept row of a repeated key
+# (the bond list may repeat an id; joins then fan out as in production).
+METRICS_KEY, METRICS_ORDER = ["id"], ["isin"]
+LIQUIDITY_KEY, LIQUIDITY_ORDER = ["id", "anchor_date"], ["isin", "pos_by_baspread_rel_median"]
+
+
 def run_day(
     spark: SparkSession,
     inputs: DayInputs,
@@ -41,15 +48,19 @@ def run_day(
     out_root: str,
     **options,
 ) -> DayOutputs:
-    """Compute and write the three tables of ``inputs.anchor`` (yyyyMMdd)."""
+    """Compute and write the three tables of ``inputs.anchor`` (yyyyMMdd).
+
+    Each table keeps one row per key (K4), as the production tables' primary
+    keys did, but under a stated order instead of arrival order.
+    """
     out = outputs(out_root)
     bonds = strict_bonds(read_bonds(spark, inputs.bonds))
-    write_full_refresh(with_audit(exchange_metrics(read_exchange_quotes(spark, inputs.exchange), bonds)),
-                       out.tsq_metrics, keep=("upsert_time",))
-    write_full_refresh(with_audit(otc_metrics(read_otc_quotes(spark, inputs.otc), bonds)),
-                       out.otc_metrics, keep=("upsert_time",))
+    tsq = exchange_metrics(read_exchange_quotes(spark, inputs.exchange), bonds)
+    otc = otc_metrics(read_otc_quotes(spark, inputs.otc), bonds)
+    for frame, path in ((tsq, out.tsq_metrics), (otc, out.otc_metrics)):
+        write_full_refresh(with_audit(dedupe_by_key(frame, METRICS_KEY, METRICS_ORDER)), path, keep=("upsert_time",))
     tsq = spark.read.parquet(out.tsq_metrics)
     otc = spark.read.parquet(out.otc_metrics)
     table = liquidity_table(tsq, otc, bonds, weights, inputs.anchor, **options)
-    write_replace_date(with_audit(table), out.liquidity)
+    write_replace_date(with_audit(dedupe_by_key(table, LIQUIDITY_KEY, LIQUIDITY_ORDER)), out.liquidity)
     return out

@@ -105,3 +105,16 @@ def test_dedupe_keeps_smallest_under_order(spark):
     df = spark.createDataFrame(rows, "k long, o double, p string")
     got = {r["k"]: (r["o"], r["p"]) for r in dedupe_by_key(df, ["k"], ["o"]).collect()}
     assert got == {1: (3.0, "b"), 2: (None, "z")}
+
+
+def test_approx_median_within_rank_error(spark):
+    rnd = random.Random(1)
+    rows = [(g, rnd.random()) for g in range(3) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    accuracy = 100
+    got = {r["g"]: r["m"] for r in lower_median(df, ["g"], "v", "m", method="approx", accuracy=accuracy).collect()}
+    for g in range(3):
+        vals = sorted(v for gg, v in rows if gg == g)
+        n = len(vals)
+        rank = vals.index(got[g]) + 1
+        assert abs(rank - math.ceil(n / 2)) <= n / accuracy
