@@ -106,3 +106,46 @@ def test_unsplittable_bracket_of_equal_ratios(spark):
     got = pair_spread_medians(b, a, "m", pair_cap=10, partitions=4).collect()
     assert len(got) == 1
     assert got[0]["m"] == _brute(bids, asks)[(8, "2020-01-01")] == 2 / 101
+
+
+def test_hot_keys_on_table_data_against_duckdb(spark):
+    """Two keys holding every lineitem row of sf0.001 (about 6.6 million bid x
+    ask pairs): the bracket path, compared with DuckDB listing every pair."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF001
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    base = li.select(
+        F.lit(1).cast("long").alias("bond"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("long").alias("prov"),
+        F.lit("2020-01-01").cast("date").alias("date"), "l_extendedprice", "l_discount", "l_tax", "l_linenumber",
+    )
+    bids = base.where(F.col("l_linenumber") % 2 == 0).select(
+        "bond", "prov", "date", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("bid"))
+    asks = base.where(F.col("l_linenumber") % 2 == 1).select(
+        "bond", "prov", "date", (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("ask"))
+    got = pair_spread_medians(bids, asks, "m", pair_cap=10_000).collect()
+    exp = duckdb.sql(f"""
+        WITH base AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS prov, l_extendedprice,
+                        l_discount, l_tax, l_linenumber FROM read_parquet('{SF001}/lineitem.parquet')),
+        b AS (SELECT prov, l_extendedprice * (1 - l_discount) AS bid FROM base WHERE l_linenumber % 2 = 0),
+        a AS (SELECT prov, l_extendedprice * (1 + l_tax) AS ask FROM base WHERE l_linenumber % 2 = 1)
+        SELECT quantile_disc((ask - bid) / ((ask + bid) / 2), 0.5) FROM b JOIN a USING (prov)""").fetchall()[0][0]
+    assert len(got) == 1 and got[0]["m"] == exp
+
+
+def test_split_median_on_table_data(spark):
+    """Every dense-view spread of sf0.01 in one group: split plan = window plan."""
+    from pyspark.sql import functions as F
+
+    from bondliq.functions.spread import relative_spread
+    from bondliq.operators.median import median_split, median_window
+    from bondliq.sources.fixtures import exchange_quotes_dense
+    from tests.conftest import SF01
+
+    q = exchange_quotes_dense(spark, SF01).select(F.lit(1).alias("g"), relative_spread("bid", "ask").alias("v"))
+    a = median_split(q, ["g"], "v", "m").collect()
+    b = median_window(q, ["g"], "v", "m").collect()
+    assert a == b and len(a) == 1
