@@ -242,10 +242,3 @@ def pair_spread_medians(
     largest = groups.agg(F.max("d").alias("d")).first()["d"] or 0
     return day_medians_from_values(bids_v, asks_v, groups, largest, alias, pair_cap=pair_cap,
                                    thresholds=thresholds, max_rounds=max_rounds, partitions=partitions)
-
-
-def paired_keys(bids: DataFrame, asks: DataFrame) -> DataFrame:
-    """(bond, prov, date) present on both sides: the keys that yield pairs."""
-    b = bids.select(*KEY).distinct()
-    a = asks.select(*KEY).distinct()
-    return b.join(a, KEY, "inner")

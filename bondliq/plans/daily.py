@@ -9,7 +9,7 @@ table. The session is the caller's; nothing here stops it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from bondliq.plans.liquidity import liquidity_table
 from bondliq.plans.metrics import exchange_metrics, otc_metrics
 from bondliq.sinks.tables import with_audit, write_full_refresh, write_replace_date
 from bondliq.sources.csv import read_bonds, read_exchange_quotes, read_otc_quotes
-from bondliq.sources.paths import DayInputs
+from bondliq.sources.paths import DayInputs, backfill_inputs
 
 
 @dataclass(frozen=True)
@@ -64,3 +64,22 @@ def run_day(
     table = liquidity_table(tsq, otc, bonds, weights, inputs.anchor, **options)
     write_replace_date(with_audit(dedupe_by_key(table, LIQUIDITY_KEY, LIQUIDITY_ORDER)), out.liquidity)
     return out
+
+
+def run_days(
+    spark: SparkSession,
+    root: str,
+    anchors: Iterable[str],
+    weights: DataFrame | Mapping[str, float],
+    out_root: str,
+    **options,
+) -> DayOutputs:
+    """Recalculate several anchor dates, one after the other (backfill).
+
+    Each date is an independent distributed run that replaces only its own
+    partition of the result table; the loop is over a short list of dates.
+    """
+    out = outputs(out_root)
+    for inputs in backfill_inputs(root, anchors):
+        out = run_day(spark, inputs, weights, out_root, **options)
+    return out

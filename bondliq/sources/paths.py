@@ -19,8 +19,16 @@ class DayInputs:
     bonds: str
 
 
-def day_inputs(root: str, anchor: str) -> DayInputs:
-    """``<root>_<yyyyMMdd>/{quotes,quotes_mp_month_raw,bonds}_<yyyyMMdd>.csv``."""
+def day_inputs(root: str, anchor: str | None) -> DayInputs:
+    """``<root>_<yyyyMMdd>/{quotes,quotes_mp_month_raw,bonds}_<yyyyMMdd>.csv``.
+
+    ``anchor`` is compact (yyyyMMdd), ISO (yyyy-MM-dd), or "0"/None for the
+    current business date (D1/D2).
+    """
+    if anchor is None or not (len(anchor) == 8 and anchor.isdigit()):
+        from bondliq.functions.dates import anchor_compact_str
+
+        anchor = anchor_compact_str(anchor)
     folder = f"{root.rstrip('/')}_{anchor}"
     return DayInputs(
         anchor,
@@ -30,6 +38,6 @@ def day_inputs(root: str, anchor: str) -> DayInputs:
     )
 
 
-def backfill_inputs(root: str, anchors: Iterable[str]) -> list[DayInputs]:
+def backfill_inputs(root: str, anchors: Iterable[str | None]) -> list[DayInputs]:
     """Inputs of several anchor dates (for recalculation date by date)."""
     return [day_inputs(root, a) for a in anchors]

@@ -27,6 +27,7 @@ def _stage(spark, root, anchor, bond7_days=19):
 
 
 def test_day_inputs_names():
+    assert day_inputs("/data/archive", "2020-01-31") == day_inputs("/data/archive", "20200131")
     p = day_inputs("/data/archive", "20200131")
     assert p.exchange == "/data/archive_20200131/quotes_20200131.csv"
     assert p.otc == "/data/archive_20200131/quotes_mp_month_raw_20200131.csv"
@@ -50,8 +51,7 @@ def test_run_day_and_replace_date(spark):
     root, out = f"{base}/archive", f"{base}/out"
     a = _stage(spark, root, "20200131")
     b = _stage(spark, root, "20200130", bond7_days=18)
-    o = daily.run_day(spark, a, golden.WEIGHTS, out)
-    daily.run_day(spark, b, golden.WEIGHTS, out)
+    o = daily.run_days(spark, root, ["2020-01-31", "20200130"], golden.WEIGHTS, out)
     first = {r["id"]: r["liq_index"] for r in sinks.read_dated(spark, o.liquidity)
              .where("anchor_date = DATE'2020-01-31'").collect()}
     # rerun of the first date: replaced, not duplicated; the other date untouched
