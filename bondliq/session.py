@@ -8,12 +8,17 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "bondliq") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "bondliq", event_log_dir: str | None = None
+) -> SparkSession:
     """A local session with the settings the package is tested under.
 
     On a cluster the caller builds the session; nothing in the package creates
-    or stops one.
+    or stops one. ``event_log_dir`` (or $BONDLIQ_EVENT_LOG_DIR) turns on Spark's
+    event log there, for stage and task times without the web UI
+    (``tools/stage_times.py`` reads it).
     """
+    event_log_dir = event_log_dir or os.environ.get("BONDLIQ_EVENT_LOG_DIR")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -27,6 +32,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = (
+            builder.config("spark.eventLog.enabled", "true")
+            .config("spark.eventLog.dir", event_log_dir)
+            .config("spark.eventLog.compress", "false")
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
