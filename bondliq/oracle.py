@@ -179,6 +179,7 @@ def queries() -> dict[str, str]:
         "liq_index": "SELECT id, liq_index FROM lt",
         "liq_index_skip_zero": "SELECT id, liq_index_skip_zero FROM lt",
         "liquidity_table": f"SELECT {LIQUIDITY_SELECT} FROM lt",
+        "daily_run": f"SELECT {LIQUIDITY_SELECT} FROM lt",
         "business_date": """SELECT event_id, CAST(ts + INTERVAL 3 HOUR - INTERVAL 10 HOUR AS DATE) AS business_date
             FROM events""",
         "anchor_date_format": """SELECT event_id, strftime(CAST(ts AS DATE), '%Y%m%d') AS anchor FROM events""",

@@ -136,6 +136,22 @@ def _sink_replace_date(i: Inputs) -> DataFrame:
     return sinks.read_dated(i.spark, path)
 
 
+def _daily_run(i: Inputs) -> DataFrame:
+    """Stage the three inputs as the dated CSV archive, run the whole day
+    (CSV reads, both metric tables, per-date replace of the result table) and
+    read the result table back."""
+    from bondliq.plans.daily import run_day
+
+    anchor = fx.ANCHOR_DATE.replace("-", "")
+    archive = staging_path(i.spark, "archive")
+    paths = day_inputs(archive, anchor)
+    fx.bonds_raw(i.spark, i.sf).write.mode("overwrite").option("header", "true").csv(paths.bonds)
+    fx.exchange_quotes_raw(i.spark, i.sf).write.mode("overwrite").option("header", "true").csv(paths.exchange)
+    fx.otc_quotes_raw(i.spark, i.sf).write.mode("overwrite").option("header", "true").csv(paths.otc)
+    out = run_day(i.spark, paths, fx.WEIGHTS, staging_path(i.spark, "liquidity_day"), index_digits=INDEX_DIGITS)
+    return sinks.read_dated(i.spark, out.liquidity)
+
+
 def _liq_skip_zero(i: Inputs) -> DataFrame:
     r = i.ranked()
     w = fx.WEIGHTS
@@ -220,6 +236,7 @@ REGISTRY: dict[str, Query] = {
     "exchange_metrics": _q(lambda i: i.tsq_metrics()),
     "otc_metrics": _q(lambda i: i.otc_metrics()),
     "liquidity_table": _q(lambda i: i.liquidity()),
+    "daily_run": _q(_daily_run),
     # sinks
     "sink_full_refresh": _q(_sink_full_refresh),
     "sink_replace_date": _q(_sink_replace_date),
