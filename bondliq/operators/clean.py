@@ -15,6 +15,10 @@ EXCLUDED_GROUNDS = (327, 381)
 
 BID, ASK = 1, 2  # OTC quote_type codes (fixed values)
 
+# Largest bond list filtered into the quotes with an explicit broadcast
+# (ids only: a hash relation of a few tens of MB at most).
+BROADCAST_BOND_ROWS = 2_000_000
+
 
 def strict_bonds(bonds_raw: DataFrame) -> DataFrame:
     """C1 = P1 + P2 + P3: drop rows without id or isin, rename, cast, enforce."""
@@ -42,19 +46,31 @@ def exchange_clean(raw: DataFrame, excluded: Iterable[int] = EXCLUDED_GROUNDS) -
     )
 
 
-def listed(quotes: DataFrame, bonds: DataFrame) -> DataFrame:
+def listed(quotes: DataFrame, bonds: DataFrame, broadcast: bool = False) -> DataFrame:
     """Keep quotes of listed bonds (inner join bond = id, quote columns only).
 
     An inner join, not a semi join: duplicate bond ids fan out as in the
-    production job. The bond list is a dimension; the planner broadcasts it
-    when its estimated size is under the broadcast threshold and adaptive
-    execution re-plans from the real size, otherwise a shuffle join is used
-    (with skew splitting for hot bonds).
+    production job. ``broadcast`` forces the id list to every task (the
+    caller has counted it); otherwise the planner broadcasts it when its
+    estimated size is small and adaptive execution re-plans from the real
+    size, else a shuffle join is used (with skew splitting for hot bonds).
     """
     ids = bonds.select(F.col("id").alias("_listed_id"))
+    if broadcast:
+        ids = F.broadcast(ids)
     return quotes.join(ids, quotes["bond"] == ids["_listed_id"], "inner").drop("_listed_id")
 
 
+def listing_plan(bonds: DataFrame, max_rows: int = BROADCAST_BOND_ROWS) -> str:
+    """``early``: filter the quotes by a broadcast of the (counted, bounded)
+    bond ids before any shuffle. ``late``: the list is too large to
+    broadcast, so the quotes are not shuffled by bond just to filter them;
+    the metrics' final per-bond join with the bond list restricts them
+    instead (per-bond medians and distinct counts do not change when all
+    quotes of a bond repeat, so the result is the same)."""
+    return "early" if bonds.limit(max_rows + 1).count() <= max_rows else "late"
+
+
 def otc_clean(raw: DataFrame) -> DataFrame:
     """Bond, org, date, price present and price > 0; quote_type unchecked."""
     cond = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bondliq import schemas
 from bondliq.functions.spread import relative_spread
-from bondliq.operators.clean import exchange_clean, listed, otc_clean, otc_sides, strict_quotes
+from bondliq.operators.clean import exchange_clean, listed, listing_plan, otc_clean, otc_sides, strict_quotes
 from bondliq.operators.enforce import enforce, split_rejects
 from bondliq.operators.median import HOT_GROUP_ROWS, lower_median
 from bondliq.operators.pair_median import (
@@ -107,14 +107,25 @@ def _finish(bonds: DataFrame, cnt: DataFrame, med: DataFrame, on_null: str, name
     return enforce(joined, schemas.MARKET_METRICS, name)
 
 
-def exchange_quotes(raw: DataFrame, bonds: DataFrame) -> DataFrame:
-    """Strict exchange quotes of listed bonds."""
-    return strict_quotes(listed(exchange_clean(raw), bonds), "exchange quotes")
+def _restrict(quotes: DataFrame, bonds: DataFrame, listing: str) -> DataFrame:
+    """J1 early (broadcast of a counted list) or late (see ``listing_plan``)."""
+    plan = listing_plan(bonds) if listing == "auto" else listing
+    if plan == "early":
+        return listed(quotes, bonds, broadcast=True)
+    if plan == "join":  # the literal J1 join, planner's choice of strategy
+        return listed(quotes, bonds)
+    return quotes
 
 
-def otc_listed_sides(raw: DataFrame, bonds: DataFrame) -> tuple[DataFrame, DataFrame]:
+def exchange_quotes(raw: DataFrame, bonds: DataFrame, listing: str = "join") -> DataFrame:
+    """Strict exchange quotes of listed bonds
+    (``listing="late"`` leaves J1 to the per-bond join of the metrics)."""
+    return strict_quotes(_restrict(exchange_clean(raw), bonds, listing), "exchange quotes")
+
+
+def otc_listed_sides(raw: DataFrame, bonds: DataFrame, listing: str = "join") -> tuple[DataFrame, DataFrame]:
     """(bids, asks) of listed bonds."""
-    return otc_sides(listed(otc_clean(raw), bonds))
+    return otc_sides(_restrict(otc_clean(raw), bonds, listing))
 
 
 def otc_quotes(raw: DataFrame, bonds: DataFrame, pair_cap: int = PAIR_CAP) -> DataFrame:
@@ -154,12 +165,13 @@ def paired_quote_metrics(
     return _finish(bonds, profile.select("bond", "providers_cnt", "qdays_cnt"), med, on_null, name)
 
 
-def exchange_metrics(raw: DataFrame, bonds: DataFrame, **kw) -> DataFrame:
-    """C3."""
-    return quote_metrics(exchange_quotes(raw, bonds), bonds, name="exchange metrics", **kw)
+def exchange_metrics(raw: DataFrame, bonds: DataFrame, listing: str = "auto", **kw) -> DataFrame:
+    """C3. ``listing``: ``auto`` (count the bond list: broadcast-filter early
+    when bounded, else late), ``early``, ``late`` or ``join``."""
+    return quote_metrics(exchange_quotes(raw, bonds, listing), bonds, name="exchange metrics", **kw)
 
 
-def otc_metrics(raw: DataFrame, bonds: DataFrame, **kw) -> DataFrame:
-    """C4."""
-    bids, asks = otc_listed_sides(raw, bonds)
+def otc_metrics(raw: DataFrame, bonds: DataFrame, listing: str = "auto", **kw) -> DataFrame:
+    """C4 (``listing`` as for ``exchange_metrics``)."""
+    bids, asks = otc_listed_sides(raw, bonds, listing)
     return paired_quote_metrics(bids, asks, bonds, **kw)

@@ -54,7 +54,7 @@ class Inputs:
         return met.otc_quotes(fx.otc_quotes_raw(self.spark, self.sf), self.bonds())
 
     def tsq_metrics(self) -> DataFrame:
-        return met.quote_metrics(self.exchange(), self.bonds(), name="exchange metrics")
+        return met.exchange_metrics(fx.exchange_quotes_raw(self.spark, self.sf), self.bonds())
 
     def otc_metrics(self) -> DataFrame:
         return met.otc_metrics(fx.otc_quotes_raw(self.spark, self.sf), self.bonds())

@@ -92,3 +92,18 @@ def test_index_scale_invariant_and_bounded(spark):
     for i in a:
         assert 0.0 <= a[i]["liq_index"] <= 1.0
         assert math.isclose(a[i]["liq_index"], b[i]["liq_index"], rel_tol=1e-12, abs_tol=1e-15)
+
+
+@pytest.mark.parametrize("listing", ["early", "late", "join"])
+def test_listing_plans_agree(spark, listing):
+    bonds_raw, ex_raw, otc_raw = golden.frames(spark)
+    # repeat bond 2 in the list: fan-out must be the same whichever way J1 runs
+    extra = spark.createDataFrame([(2, "XS02B", None, None, None)], golden.BONDS_SCHEMA)
+    bonds = strict_bonds(bonds_raw.unionByName(extra))
+    t = exchange_metrics(ex_raw, bonds, listing=listing)
+    o = otc_metrics(otc_raw, bonds, listing=listing)
+    rows = sorted(tuple(r) for r in t.unionByName(o).collect())
+    ref_t = exchange_metrics(ex_raw, bonds, listing="join")
+    ref_o = otc_metrics(otc_raw, bonds, listing="join")
+    assert rows == sorted(tuple(r) for r in ref_t.unionByName(ref_o).collect())
+    assert sum(1 for r in rows if r[0] == 2) == 4  # two list rows x two markets
