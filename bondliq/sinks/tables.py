@@ -38,13 +38,12 @@ def write_replace_date(df: DataFrame, path: str, date_col: str = "anchor_date")
     stay untouched, and the date is replaced at the end of the job (a failed
     run leaves the previous version in place, unlike delete-then-insert).
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(date_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")  # this write only, not the session
+        .partitionBy(date_col)
+        .parquet(path)
+    )
 
 
 def read_dated(spark, path: str, columns=None) -> DataFrame:

@@ -26,7 +26,7 @@ def arrived_dates(spark: SparkSession, root: str) -> DataFrame:
     """A stream of (anchor) strings, one row per bond-file row of new folders."""
     pattern = f"{root.rstrip('/')}_*/bonds_*.csv"
     stream = spark.readStream.schema(schemas.BONDS_CSV).option("header", "true").csv(pattern)
-    return stream.select(F.regexp_extract(F.input_file_name(), r"bonds_(\d{8})\.csv", 1).alias("anchor"))
+    return stream.select(F.regexp_extract(F.col("_metadata.file_path"), r"bonds_(\d{8})\.csv", 1).alias("anchor"))
 
 
 def start(
