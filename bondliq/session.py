@@ -51,12 +51,15 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` as the cluster names it. Only when it
     is unset (local tests) a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context, checkpoints follow the conf
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="bondliq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
 
