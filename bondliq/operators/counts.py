@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def quote_counts(quotes: DataFrame, key: str = "bond") -> DataFrame:
+def quote_counts(quotes: DataFrame, key: str = "bond", approx_rsd: float | None = None) -> DataFrame:
     """(key, providers_cnt, qdays_cnt) over all quote rows of a bond.
 
-    Both distinct counts in one aggregation: Spark expands each row once per
-    distinct column and aggregates (key, value) pairs map-side before the
+    Exact: both distinct counts in one aggregation. Spark expands each row once
+    per distinct column and aggregates (key, value) pairs map-side before the
     first shuffle, then counts per key with another partial aggregation, so a
     hot bond never collects its values in one buffer.
+
+    ``approx_rsd``: HyperLogLog sketches (``approx_count_distinct``) with that
+    relative standard deviation instead, with one shuffle of fixed-size
+    sketches per bond and map task.
     """
-    return quotes.groupBy(key).agg(
-        F.count_distinct("prov").cast("bigint").alias("providers_cnt"),
-        F.count_distinct("date").cast("bigint").alias("qdays_cnt"),
-    )
+    if approx_rsd is None:
+        prov, days = F.count_distinct("prov"), F.count_distinct("date")
+    else:
+        prov, days = F.approx_count_distinct("prov", approx_rsd), F.approx_count_distinct("date", approx_rsd)
+    return quotes.groupBy(key).agg(prov.cast("bigint").alias("providers_cnt"), days.cast("bigint").alias("qdays_cnt"))

@@ -118,3 +118,15 @@ def test_approx_median_within_rank_error(spark):
         n = len(vals)
         rank = vals.index(got[g]) + 1
         assert abs(rank - math.ceil(n / 2)) <= n / accuracy
+
+
+def test_approx_counts_within_error(spark):
+    from bondliq.operators.counts import quote_counts
+
+    rows = [(b, p, f"2020-01-{d:02d}") for b in range(3) for p in range(40 * (b + 1)) for d in range(1, 1 + 10 * (b + 1))]
+    df = spark.createDataFrame(rows, "bond long, prov long, date string")
+    exact = {r["bond"]: (r["providers_cnt"], r["qdays_cnt"]) for r in quote_counts(df).collect()}
+    assert exact == {b: (40 * (b + 1), 10 * (b + 1)) for b in range(3)}
+    approx = {r["bond"]: (r["providers_cnt"], r["qdays_cnt"]) for r in quote_counts(df, approx_rsd=0.02).collect()}
+    for b, (p, d) in exact.items():
+        assert abs(approx[b][0] - p) <= 0.1 * p and abs(approx[b][1] - d) <= 0.1 * d
