@@ -44,6 +44,16 @@ MAX_ROUNDS = 64
 GROUP = ["bond", "date"]
 KEY = ["bond", "prov", "date"]
 
+# Pair counts are products of side counts: past 9.2e18 a long overflows (an
+# error under ANSI), so rank arithmetic on pairs is exact decimal(38,0).
+PAIR_COUNT = "decimal(38,0)"
+
+
+def _pairs(a, b):
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    return a.cast(PAIR_COUNT) * b.cast(PAIR_COUNT)
+
 
 def side_values(side: DataFrame, value: str) -> DataFrame:
     """(bond, prov, date, value, w): distinct values with their row counts."""
@@ -61,8 +71,8 @@ def pair_stats(bids_v: DataFrame, asks_v: DataFrame) -> tuple[DataFrame, DataFra
     )
     keys = kb.join(ka, KEY, "inner")
     groups = keys.groupBy(*GROUP).agg(
-        F.sum(F.col("k") * F.col("m")).alias("n"),
-        F.sum(F.col("kd") * F.col("md")).alias("d"),
+        F.sum(_pairs("k", "m")).alias("n"),
+        F.sum(_pairs("kd", "md")).alias("d"),
         F.min(F.col("amin") / F.col("bmax")).alias("rmin"),
         F.max(F.col("amax") / F.col("bmin")).alias("rmax"),
     )
@@ -91,7 +101,7 @@ def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str) -> DataFrame:
     b = bids_v.withColumnRenamed("w", "wb")
     a = asks_v.withColumnRenamed("w", "wa")
     pairs = b.join(a, KEY, "inner")
-    spreads = pairs.select(*GROUP, relative_spread("bid", "ask").alias("_s"), (F.col("wb") * F.col("wa")).alias("_w"))
+    spreads = pairs.select(*GROUP, relative_spread("bid", "ask").alias("_s"), _pairs("wb", "wa").alias("_w"))
     return weighted_lower_median(spreads, GROUP, "_s", "_w", alias)
 
 
@@ -114,7 +124,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
     state = materialize(groups.select(
         *GROUP, F.floor((F.col("n") + 1) / 2).alias("r"),
         (F.col("rmin") / 2).alias("lo"), (F.col("rmax") * 2).alias("hi"),
-        F.lit(0).cast("long").alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
+        F.lit(0).cast(PAIR_COUNT).alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
     ))
     for _ in range(max_rounds):
         active = state.where((F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck"))
@@ -130,7 +140,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         looked = _lookup(asks_u, probes, parts).where(F.col("_kind") == 1)
         # cut points can round to one value near the end: count each apart
         counts = looked.groupBy(*GROUP, "_j", "_t").agg(
-            F.sum(F.col("_bw") * F.col("cum__aw")).alias("_c"), F.sum("cum__ad").alias("_d")
+            F.sum(_pairs("_bw", "cum__aw")).alias("_c"), F.sum(F.col("cum__ad").cast(PAIR_COUNT)).alias("_d")
         )
         with_r = counts.join(state.select(*GROUP, "r"), GROUP)
         below = with_r.where(F.col("_c") < F.col("r")).groupBy(*GROUP).agg(
@@ -151,6 +161,9 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
             "stuck", F.col("stuck") | ((F.col("lo") == F.col("_lo0")) & (F.col("hi") == F.col("_hi0")))
         ).drop("_lo0", "_hi0")
         state = materialize(nxt)
+    unresolved = state.where((F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck"))
+    if not unresolved.isEmpty():  # cannot happen: each round narrows the bracket 16x or sticks
+        raise RuntimeError(f"pair bracket did not converge in {max_rounds} rounds")
 
     # final pass: ask positions of each bid's bracket (lo, hi]
     ends = bh.join(state.select(*GROUP, "lo", "hi"), GROUP)
@@ -169,13 +182,13 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         F.max(F.when(F.col("_end") == "hi", F.col("cum__ad"))).alias("_phi"),
         F.max(F.when(F.col("_end") == "lo", F.col("cum__aw"))).alias("_wlo"),
     )
-    c_lo = per_bid.groupBy(*GROUP).agg(F.sum(F.col("_bw") * F.col("_wlo")).alias("c_lo"))
+    c_lo = per_bid.groupBy(*GROUP).agg(F.sum(_pairs("_bw", "_wlo")).alias("c_lo"))
     spans = per_bid.where(F.col("_phi") > F.col("_plo")).join(state.select(*GROUP, "stuck"), GROUP)
     # listed brackets (bounded by pair_cap distinct pairs per group)
     listed = spans.where(~F.col("stuck")).select(
         *KEY, "bid", "_bw", F.explode(F.sequence(F.col("_plo") + 1, F.col("_phi"))).alias("_pos")
     ).join(asks_pos, [*KEY, "_pos"])
-    cand = listed.select(*GROUP, relative_spread("bid", "ask").alias("_s"), (F.col("_bw") * F.col("_aw")).alias("_w"))
+    cand = listed.select(*GROUP, relative_spread("bid", "ask").alias("_s"), _pairs("_bw", "_aw").alias("_w"))
     rank = state.select(*GROUP, "r").join(c_lo, GROUP).select(*GROUP, (F.col("r") - F.col("c_lo")).alias("_rr"))
     picked = weighted_lower_median(cand.join(rank, GROUP), GROUP, "_s", "_w", alias, rank="_rr")
     # unsplittable brackets: every pair shares one ratio; the first pair of each bid stands for all
