@@ -45,14 +45,21 @@ GROUP = ["bond", "date"]
 KEY = ["bond", "prov", "date"]
 
 # Pair counts are products of side counts: past 9.2e18 a long overflows (an
-# error under ANSI), so rank arithmetic on pairs is exact decimal(38,0).
-PAIR_COUNT = "decimal(38,0)"
+# error under ANSI). The day statistics are summed in decimal(38,0); the
+# per-pair arithmetic uses a long when the largest day has fewer pairs than
+# LONG_SAFE_PAIRS (measured by the sizing job), else the exact decimal.
+WIDE_COUNT = "decimal(38,0)"
+LONG_SAFE_PAIRS = 2**62
 
 
-def _pairs(a, b):
+def count_type(largest_day_weighted_pairs) -> str:
+    return "bigint" if int(largest_day_weighted_pairs or 0) < LONG_SAFE_PAIRS else WIDE_COUNT
+
+
+def _pairs(a, b, kind: str = WIDE_COUNT):
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
-    return a.cast(PAIR_COUNT) * b.cast(PAIR_COUNT)
+    return a.cast(kind) * b.cast(kind)
 
 
 def side_values(side: DataFrame, value: str) -> DataFrame:
@@ -97,11 +104,11 @@ def weighted_lower_median(
     return x.where(hit).select(*keys, F.col(value).alias(alias))
 
 
-def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str) -> DataFrame:
+def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str, kind: str = WIDE_COUNT) -> DataFrame:
     b = bids_v.withColumnRenamed("w", "wb")
     a = asks_v.withColumnRenamed("w", "wa")
     pairs = b.join(a, KEY, "inner")
-    spreads = pairs.select(*GROUP, relative_spread("bid", "ask").alias("_s"), _pairs("wb", "wa").alias("_w"))
+    spreads = pairs.select(*GROUP, relative_spread("bid", "ask").alias("_s"), _pairs("wb", "wa", kind).alias("_w"))
     return weighted_lower_median(spreads, GROUP, "_s", "_w", alias)
 
 
@@ -113,7 +120,7 @@ def _lookup(asks_u: DataFrame, probes: DataFrame, parts: int | None) -> DataFram
 
 
 def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str, *,
-           pair_cap: int, thresholds: int, max_rounds: int, parts: int | None) -> DataFrame:
+           pair_cap: int, thresholds: int, max_rounds: int, parts: int | None, kind: str = WIDE_COUNT) -> DataFrame:
     gsel = groups.select(*GROUP)
     bh = bids_v.join(gsel, GROUP, "left_semi").select(*KEY, "bid", F.col("w").alias("_bw"))
     asks_u = asks_v.join(gsel, GROUP, "left_semi").select(
@@ -124,7 +131,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
     state = materialize(groups.select(
         *GROUP, F.floor((F.col("n") + 1) / 2).alias("r"),
         (F.col("rmin") / 2).alias("lo"), (F.col("rmax") * 2).alias("hi"),
-        F.lit(0).cast(PAIR_COUNT).alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
+        F.lit(0).cast(WIDE_COUNT).alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
     ))
     for _ in range(max_rounds):
         active = state.where((F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck"))
@@ -140,7 +147,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         looked = _lookup(asks_u, probes, parts).where(F.col("_kind") == 1)
         # cut points can round to one value near the end: count each apart
         counts = looked.groupBy(*GROUP, "_j", "_t").agg(
-            F.sum(_pairs("_bw", "cum__aw")).alias("_c"), F.sum(F.col("cum__ad").cast(PAIR_COUNT)).alias("_d")
+            F.sum(_pairs("_bw", "cum__aw", kind)).alias("_c"), F.sum(F.col("cum__ad").cast(WIDE_COUNT)).alias("_d")
         )
         with_r = counts.join(state.select(*GROUP, "r"), GROUP)
         below = with_r.where(F.col("_c") < F.col("r")).groupBy(*GROUP).agg(
@@ -182,13 +189,13 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         F.max(F.when(F.col("_end") == "hi", F.col("cum__ad"))).alias("_phi"),
         F.max(F.when(F.col("_end") == "lo", F.col("cum__aw"))).alias("_wlo"),
     )
-    c_lo = per_bid.groupBy(*GROUP).agg(F.sum(_pairs("_bw", "_wlo")).alias("c_lo"))
+    c_lo = per_bid.groupBy(*GROUP).agg(F.sum(_pairs("_bw", "_wlo", kind)).alias("c_lo"))
     spans = per_bid.where(F.col("_phi") > F.col("_plo")).join(state.select(*GROUP, "stuck"), GROUP)
     # listed brackets (bounded by pair_cap distinct pairs per group)
     listed = spans.where(~F.col("stuck")).select(
         *KEY, "bid", "_bw", F.explode(F.sequence(F.col("_plo") + 1, F.col("_phi"))).alias("_pos")
     ).join(asks_pos, [*KEY, "_pos"])
-    cand = listed.select(*GROUP, relative_spread("bid", "ask").alias("_s"), _pairs("_bw", "_aw").alias("_w"))
+    cand = listed.select(*GROUP, relative_spread("bid", "ask").alias("_s"), _pairs("_bw", "_aw", kind).alias("_w"))
     rank = state.select(*GROUP, "r").join(c_lo, GROUP).select(*GROUP, (F.col("r") - F.col("c_lo")).alias("_rr"))
     picked = weighted_lower_median(cand.join(rank, GROUP), GROUP, "_s", "_w", alias, rank="_rr")
     # unsplittable brackets: every pair shares one ratio; the first pair of each bid stands for all
@@ -202,7 +209,8 @@ def pair_profile(keys: DataFrame, groups: DataFrame) -> DataFrame:
     """Per bond: providers_cnt and qdays_cnt over keys present on both sides
     (A3, A4), and the largest distinct-pair count of one of its days."""
     per_day = groups.groupBy("bond").agg(
-        F.count(F.lit(1)).cast("bigint").alias("qdays_cnt"), F.max("d").alias("max_day_pairs")
+        F.count(F.lit(1)).cast("bigint").alias("qdays_cnt"), F.max("d").alias("max_day_pairs"),
+        F.max("n").alias("max_day_weighted_pairs"),
     )
     per_prov = keys.groupBy("bond", "prov").agg(F.sum("k").alias("k")).groupBy("bond").agg(
         F.count(F.lit(1)).cast("bigint").alias("providers_cnt")
@@ -217,21 +225,29 @@ def day_medians_from_values(
     largest_day_pairs: int,
     alias: str = "median_of_tgs",
     *,
+    largest_day_weighted_pairs: int | None = None,
     pair_cap: int = PAIR_CAP,
     thresholds: int = THRESHOLDS,
     max_rounds: int = MAX_ROUNDS,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Day medians from side values and day stats (see ``pair_spread_medians``)."""
+    """Day medians from side values and day stats (see ``pair_spread_medians``).
+
+    ``largest_day_pairs``: most distinct value pairs of a day (chooses the
+    path); ``largest_day_weighted_pairs``: most pairs of a day counting
+    repeats (chooses long or decimal counts; unknown means decimal).
+    """
+    kind = WIDE_COUNT if largest_day_weighted_pairs is None else count_type(largest_day_weighted_pairs)
     if largest_day_pairs <= pair_cap:
-        return _light(bids_v, asks_v, alias)
+        return _light(bids_v, asks_v, alias, kind)
     heavy_groups = groups.where(F.col("d") > pair_cap)
     # both sides drop the heavy days before the pair join, so a hot day never
     # reaches that shuffle (anti join: broadcast when small, else skew-split)
     heavy_keys = heavy_groups.select(*GROUP)
-    light = _light(bids_v.join(heavy_keys, GROUP, "left_anti"), asks_v.join(heavy_keys, GROUP, "left_anti"), alias)
+    light = _light(bids_v.join(heavy_keys, GROUP, "left_anti"), asks_v.join(heavy_keys, GROUP, "left_anti"), alias,
+                   kind)
     heavy = _heavy(bids_v, asks_v, heavy_groups, alias, pair_cap=pair_cap, thresholds=thresholds,
-                   max_rounds=max_rounds, parts=partitions)
+                   max_rounds=max_rounds, parts=partitions, kind=kind)
     return light.unionByName(heavy)
 
 
@@ -252,6 +268,7 @@ def pair_spread_medians(
     """
     bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
     _, groups = pair_stats(bids_v, asks_v)
-    largest = groups.agg(F.max("d").alias("d")).first()["d"] or 0
-    return day_medians_from_values(bids_v, asks_v, groups, largest, alias, pair_cap=pair_cap,
+    row = groups.agg(F.max("d").alias("d"), F.max("n").alias("n")).first()
+    return day_medians_from_values(bids_v, asks_v, groups, row["d"] or 0, alias,
+                                   largest_day_weighted_pairs=row["n"] or 0, pair_cap=pair_cap,
                                    thresholds=thresholds, max_rounds=max_rounds, partitions=partitions)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bondliq.operators.clean import strict_bonds
+from bondliq.operators.clean import listing_plan, strict_bonds
 from bondliq.operators.dedupe import dedupe_by_key
 from bondliq.plans.liquidity import liquidity_table
 from bondliq.plans.metrics import exchange_metrics, otc_metrics
@@ -55,8 +55,9 @@ def run_day(
     """
     out = outputs(out_root)
     bonds = strict_bonds(read_bonds(spark, inputs.bonds))
-    tsq = exchange_metrics(read_exchange_quotes(spark, inputs.exchange), bonds)
-    otc = otc_metrics(read_otc_quotes(spark, inputs.otc), bonds)
+    listing = listing_plan(bonds)  # one count of the bond list for both markets
+    tsq = exchange_metrics(read_exchange_quotes(spark, inputs.exchange), bonds, listing=listing)
+    otc = otc_metrics(read_otc_quotes(spark, inputs.otc), bonds, listing=listing)
     for frame, path in ((tsq, out.tsq_metrics), (otc, out.otc_metrics)):
         write_full_refresh(with_audit(dedupe_by_key(frame, METRICS_KEY, METRICS_ORDER)), path, keep=("upsert_time",))
     tsq = spark.read.parquet(out.tsq_metrics)

@@ -155,9 +155,13 @@ def paired_quote_metrics(
     bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
     keys, groups = pair_stats(bids_v, asks_v)
     profile = materialize(pair_profile(keys, groups))
-    row = profile.agg(F.max("max_day_pairs").alias("d"), F.max("qdays_cnt").alias("days")).first()
+    row = profile.agg(
+        F.max("max_day_pairs").alias("d"), F.max("max_day_weighted_pairs").alias("n"),
+        F.max("qdays_cnt").alias("days"),
+    ).first()
     largest, most_days = int(row["d"] or 0), int(row["days"] or 0)
-    day = day_medians_from_values(bids_v, asks_v, groups, largest, "median_of_tgs", pair_cap=pair_cap)
+    day = day_medians_from_values(bids_v, asks_v, groups, largest, "median_of_tgs",
+                                  largest_day_weighted_pairs=int(row["n"] or 0), pair_cap=pair_cap)
     if median_method == "exact":
         med = median_of_medians(day, "window" if most_days <= hot_rows else "split", most_days)
     else:

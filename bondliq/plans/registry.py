@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from bondliq import schemas
 from bondliq.functions.dates import anchor_compact, business_date, clamp_far_date, days_between, anchor_date_lit
 from bondliq.functions.index import liquidity_index, RANK_WEIGHTS
-from bondliq.operators.clean import exchange_clean, listed, otc_clean, otc_sides, strict_bonds
+from bondliq.operators.clean import exchange_clean, listed, listing_plan, otc_clean, otc_sides, strict_bonds
 from bondliq.operators.counts import quote_counts
 from bondliq.operators.dedupe import dedupe_by_key
 from bondliq.operators.enforce import split_rejects
@@ -43,6 +43,13 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
+        self._listing: str | None = None
+
+    def listing(self) -> str:
+        """J1 plan, decided once per set of inputs (one count of the bond list)."""
+        if self._listing is None:
+            self._listing = listing_plan(self.bonds())
+        return self._listing
 
     def bonds(self) -> DataFrame:
         return strict_bonds(fx.bonds_raw(self.spark, self.sf))
@@ -54,10 +61,10 @@ class Inputs:
         return met.otc_quotes(fx.otc_quotes_raw(self.spark, self.sf), self.bonds())
 
     def tsq_metrics(self) -> DataFrame:
-        return met.exchange_metrics(fx.exchange_quotes_raw(self.spark, self.sf), self.bonds())
+        return met.exchange_metrics(fx.exchange_quotes_raw(self.spark, self.sf), self.bonds(), listing=self.listing())
 
     def otc_metrics(self) -> DataFrame:
-        return met.otc_metrics(fx.otc_quotes_raw(self.spark, self.sf), self.bonds())
+        return met.otc_metrics(fx.otc_quotes_raw(self.spark, self.sf), self.bonds(), listing=self.listing())
 
     def merged(self, anchor: str = fx.ANCHOR_DATE) -> DataFrame:
         return liq.merged_metrics(self.tsq_metrics(), self.otc_metrics(), self.bonds(), anchor)

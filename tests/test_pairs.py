@@ -149,3 +149,19 @@ def test_split_median_on_table_data(spark):
     a = median_split(q, ["g"], "v", "m").collect()
     b = median_window(q, ["g"], "v", "m").collect()
     assert a == b and len(a) == 1
+
+
+def test_wide_counts_path_equals_long_path(spark):
+    from bondliq.operators import pair_median as pm
+
+    assert pm.count_type(2**62 - 1) == "bigint" and pm.count_type(2**63) == pm.WIDE_COUNT
+    bids, asks = _sides(5)
+    b, a = _frames(spark, bids, asks)
+    bv, av = pm.side_values(b, "bid"), pm.side_values(a, "ask")
+    _, groups = pm.pair_stats(bv, av)
+    exp = _brute(bids, asks)
+    for cap in (1_000_000, 200):
+        largest = groups.agg({"d": "max"}).first()[0]
+        got = pm.day_medians_from_values(bv, av, groups, largest, "m", largest_day_weighted_pairs=None,
+                                         pair_cap=cap, partitions=4).collect()
+        assert {(r["bond"], str(r["date"])): r["m"] for r in got} == pytest.approx(exp, rel=1e-15)
