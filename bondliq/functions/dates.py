@@ -18,10 +18,21 @@ CLAMP_LIMIT = "2037-12-30"
 CLAMP_SENTINEL = "1970-01-01"
 
 
-def business_date(ts: Column | str, zone: str = BUSINESS_ZONE, cutoff_hours: int = BUSINESS_CUTOFF_HOURS) -> Column:
-    """The business date of a UTC instant: local date of (local time - cutoff)."""
+def business_date(
+    ts: Column | str,
+    zone: str = BUSINESS_ZONE,
+    cutoff_hours: int = BUSINESS_CUTOFF_HOURS,
+    source_zone: str | None = None,
+) -> Column:
+    """Business date = local date in ``zone`` of (local time - cutoff).
+
+    ``source_zone=None``: ``ts`` is an instant (TIMESTAMP). A string: ``ts`` is
+    a wall-clock time without zone (TIMESTAMP_NTZ) in that zone, e.g. "UTC".
+    Either way the result does not depend on the session time zone.
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    local = F.from_utc_timestamp(ts.cast("timestamp"), zone)
+    source = F.current_timezone() if source_zone is None else F.lit(source_zone)
+    local = F.convert_timezone(source, F.lit(zone), ts.cast("timestamp_ntz"))
     return F.to_date(local - F.make_dt_interval(F.lit(0), F.lit(cutoff_hours)))
 
 

@@ -200,7 +200,9 @@ REGISTRY: dict[str, Query] = {
     "scan_otc_csv": _q(lambda i: _staged_csv(i, fx.otc_quotes_raw(i.spark, i.sf), "otc", csvsrc.read_otc_quotes, True)),
     "median_via_sql": _q(_median_via_sql),
     # dates
-    "business_date": _q(lambda i: _events(i).select("event_id", business_date("ts").alias("business_date"))),
+    # events.ts is a wall-clock time without zone, in UTC
+    "business_date": _q(lambda i: _events(i).select(
+        "event_id", business_date("ts", source_zone="UTC").alias("business_date"))),
     "anchor_date_format": _q(lambda i: _events(i).select(
         "event_id", anchor_compact(F.to_date("ts").cast("string")).alias("anchor"))),
     "bond_age_days": _q(_bond_age),

@@ -65,3 +65,21 @@ def test_weights_validation(spark):
     twice = spark.createDataFrame([(n, 0.2) for n in names] + [(names[0], 0.3)], schemas.WEIGHTS)
     with pytest.raises(ValueError, match="2 times"):
         weights_dict(twice)
+
+
+def test_business_date_ignores_session_zone(spark):
+    from tests.conftest import SF001
+
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    expr = business_date("ts", source_zone="UTC").alias("d")
+    utc = events.select("event_id", expr).collect()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ny = events.select("event_id", expr).collect()
+        inst = spark.createDataFrame([(dt.datetime(2024, 1, 10, 7, 0, 0),)], "ts timestamp_ntz").select(
+            business_date(F.to_utc_timestamp("ts", "UTC")).alias("d")).first()["d"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == ny
+    assert inst == dt.date(2024, 1, 10)
