@@ -17,8 +17,8 @@ k * m rows is quadratic for a hot key, so:
    holding rank ceil(n/2) is kept. When it holds at most ``pair_cap``
    distinct pairs, only those pairs are listed (by ask position per bid) and
    the remaining rank is selected among them. If a bracket can no longer be
-   split (all its pairs share one ratio in floating point), one pair stands for
-   all of them.
+   split (its bounds are adjacent doubles, so its pairs share one ratio up to
+   the last bits), one pair stands for all of them.
 
 Pairs are ordered by ask/bid ratio across brackets and by the computed spread
 inside the last bracket; the two orders agree except for pairs whose

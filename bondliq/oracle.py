@@ -156,6 +156,7 @@ def queries() -> dict[str, str]:
         "relative_spread": "SELECT * FROM ex_s",
         "median_by_bond_date": "SELECT * FROM ex_day",
         "median_by_bond_date_dense": "SELECT * FROM dense_day",
+        "median_by_bond_date_otc": "SELECT * FROM otc_day",
         "median_of_medians": "SELECT * FROM ex_med",
         "median_via_sql": "SELECT * FROM ex_med",
         "quote_counts": "SELECT * FROM ex_cnt",

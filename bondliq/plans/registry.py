@@ -166,6 +166,14 @@ def _liq_skip_zero(i: Inputs) -> DataFrame:
     return r.select("id", F.round(idx, INDEX_DIGITS).alias("liq_index_skip_zero"))
 
 
+def _otc_day_medians(i: Inputs) -> DataFrame:
+    """J2 + A1: OTC day medians over every bid x ask pair, without listing them."""
+    from bondliq.operators.pair_median import pair_spread_medians
+
+    bids, asks = met.otc_listed_sides(fx.otc_quotes_raw(i.spark, i.sf), i.bonds(), i.listing())
+    return pair_spread_medians(bids, asks, "median_of_tgs")
+
+
 def _dense_day_medians(i: Inputs) -> DataFrame:
     q = fx.exchange_quotes_dense(i.spark, i.sf)
     return met.day_medians(met.spreads(q))
@@ -222,6 +230,7 @@ REGISTRY: dict[str, Query] = {
     "relative_spread": _q(lambda i: met.spreads(i.exchange())),
     "median_by_bond_date": _q(lambda i: met.day_medians(met.spreads(i.exchange()))),
     "median_by_bond_date_dense": _q(_dense_day_medians),
+    "median_by_bond_date_otc": _q(_otc_day_medians),
     "median_of_medians": _q(lambda i: met.median_of_medians(met.day_medians(met.spreads(i.exchange())))),
     "quote_counts": _q(lambda i: quote_counts(met.spreads(i.exchange()))),
     "global_aggs": _q(lambda i: global_aggs(merge_metrics(
