@@ -1,27 +1,48 @@
-"""The dated CSV inputs, read with explicit schemas.
-
-Schema inference costs an extra pass over each file and is fragile (one bad
-value turns a column to string); an explicit schema reads once with stable
-types. Malformed rows are kept with null fields (PERMISSIVE); the raw line
-can be kept in a ``_corrupt_record`` column for inspection.
+"""The dated CSV inputs, read by header name with fixed types.
+
+Type inference costs an extra pass over each file and is fragile (one bad
+value turns a column to string). A positional schema is fragile in another
+way: a file with the same columns in another order would silently shift
+values. So every column is read as text (the header gives the names, no
+inference pass), then each expected column is taken by name and converted
+with ``try_cast``; other columns are ignored. A value that does not convert
+becomes null; with ``keep_corrupt`` such rows (and rows the CSV parser could
+not split) carry their raw text in ``_corrupt_record``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bondliq import schemas
 
+CORRUPT = "_corrupt_record"
+
 
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType, *, keep_corrupt: bool = False
 ) -> DataFrame:
     reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
+    names = reader.csv(path).columns  # header only: no inference pass
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType(), True)])
-        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
-    return reader.schema(schema).csv(path)
+        text = T.StructType([*text.fields, T.StructField(CORRUPT, T.StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    raw = reader.schema(text).csv(path)
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    if not keep_corrupt:
+        return raw.select(*typed)
+    failed = F.lit(False)
+    for f in schema.fields:
+        failed = failed | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    raw_line = F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n in names])
+    corrupt = F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(failed, raw_line)
+    return raw.select(*typed, corrupt.alias(CORRUPT))
 
 
 def read_bonds(spark: SparkSession, path: str | list[str], **kw) -> DataFrame:

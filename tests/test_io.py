@@ -113,3 +113,16 @@ def test_run_day_repeated_bond_id_keeps_one_row_per_key(spark):
     assert lt.count() == lt.select("id", "anchor_date").distinct().count() == 4
     # the fan-out is kept in the aggregates, as in production: 5 bond rows covered
     assert {r["total_bonds"] for r in lt.collect()} == {5}
+
+
+def test_csv_reader_takes_columns_by_name(spark):
+    d = tempfile.mkdtemp(prefix="bondliq-csv-")
+    path = os.path.join(d, "quotes.csv")
+    with open(path, "w") as f:
+        f.write("ask,extra,date,bond,bid,tg\n")
+        f.write("101.0,x,2020-01-01 15:30:00,7,99.0,10\n")
+    row = csvsrc.read_exchange_quotes(spark, path).first()
+    assert (row["bond"], row["tg"], row["bid"], row["ask"]) == (7, 10, 99.0, 101.0)
+    assert row["date"] == dt.datetime(2020, 1, 1, 15, 30)
+    with pytest.raises(ValueError, match="missing"):
+        csvsrc.read_bonds(spark, path)
