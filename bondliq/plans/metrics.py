@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bondliq import schemas
@@ -44,10 +44,12 @@ def quote_profile(spread_rows: DataFrame) -> DataFrame:
     return per_day.join(per_prov, "bond")
 
 
-def profile_bounds(profile: DataFrame) -> tuple[int, int]:
-    """(largest day group, most quoted days of a bond) from a profile."""
-    row = profile.agg(F.max("max_day_rows").alias("n"), F.max("qdays_cnt").alias("d")).first()
-    return int(row["n"] or 0), int(row["d"] or 0)
+def kept_profile(profile: DataFrame, **bounds) -> tuple[DataFrame, dict]:
+    """Checkpoint a per-bond profile and observe ``bounds`` (name -> max of a
+    column) in the same job (``DataFrame.observe``: no second job for them)."""
+    obs = Observation("profile bounds")
+    kept = materialize(profile.observe(obs, *[F.max(c).alias(name) for name, c in bounds.items()]))
+    return kept, {k: int(v or 0) for k, v in obs.get.items()}
 
 
 def day_medians(spread_rows: DataFrame, method: str = "exact", bound: int | None = None) -> DataFrame:
@@ -77,10 +79,11 @@ def quote_metrics(
     the job (the production schema says non-null), ``reject`` drops the bond.
     """
     s = spreads(quotes)
-    # one job: counts and group sizes per bond, kept (one row per bond) so the
-    # median job below is the only other pass over the quotes
-    profile = materialize(quote_profile(s))
-    day_bound, bond_bound = profile_bounds(profile)
+    # one job: counts and group sizes per bond, kept (one row per bond) with
+    # the largest sizes observed on the way; the median job below is the only
+    # other pass over the quotes
+    profile, b = kept_profile(quote_profile(s), day_rows="max_day_rows", days="qdays_cnt")
+    day_bound, bond_bound = b["day_rows"], b["days"]
     if median_method == "exact":
         # choose per level; both plans are exact
         day_method = "window" if day_bound <= hot_rows else "split"
@@ -154,14 +157,11 @@ def paired_quote_metrics(
     """
     bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
     keys, groups = pair_stats(bids_v, asks_v)
-    profile = materialize(pair_profile(keys, groups))
-    row = profile.agg(
-        F.max("max_day_pairs").alias("d"), F.max("max_day_weighted_pairs").alias("n"),
-        F.max("qdays_cnt").alias("days"),
-    ).first()
-    largest, most_days = int(row["d"] or 0), int(row["days"] or 0)
+    profile, b = kept_profile(pair_profile(keys, groups), d="max_day_pairs", n="max_day_weighted_pairs",
+                              days="qdays_cnt")
+    largest, most_days = b["d"], b["days"]
     day = day_medians_from_values(bids_v, asks_v, groups, largest, "median_of_tgs",
-                                  largest_day_weighted_pairs=int(row["n"] or 0), pair_cap=pair_cap)
+                                  largest_day_weighted_pairs=b["n"], pair_cap=pair_cap)
     if median_method == "exact":
         med = median_of_medians(day, "window" if most_days <= hot_rows else "split", most_days)
     else:

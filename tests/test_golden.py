@@ -107,3 +107,12 @@ def test_listing_plans_agree(spark, listing):
     ref_o = otc_metrics(otc_raw, bonds, listing="join")
     assert rows == sorted(tuple(r) for r in ref_t.unionByName(ref_o).collect())
     assert sum(1 for r in rows if r[0] == 2) == 4  # two list rows x two markets
+
+
+def test_profile_bounds_switch_to_split_plan(spark):
+    """With a tiny hot-group bound the observed profile sizes send both median
+    levels of both markets to the range-split plan; results are unchanged."""
+    _, tsq, otc = _run(spark, median_method="exact", hot_rows=2)
+    _, tsq_w, otc_w = _run(spark, median_method="window")
+    assert sorted(map(tuple, tsq.collect())) == sorted(map(tuple, tsq_w.collect()))
+    assert sorted(map(tuple, otc.collect())) == sorted(map(tuple, otc_w.collect()))
