@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from bondliq.functions.spread import relative_spread
@@ -127,16 +127,24 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         *KEY, F.col("ask").alias("_x"), F.lit(0).alias("_kind"), F.col("w").alias("_aw"),
         F.lit(1).cast("long").alias("_ad"),
     )
+    open_cond = (F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck")
+
+    def keep(frame: DataFrame) -> tuple[DataFrame, int]:
+        # checkpoint the state and count the open brackets in the same job
+        obs = Observation("open brackets")
+        kept = materialize(frame.observe(obs, F.count(F.when(open_cond, F.lit(1))).alias("open")))
+        return kept, int(obs.get["open"] or 0)
+
     # bracket (lo, hi] in ratio space with c(lo) = 0 and c(hi) = n
-    state = materialize(groups.select(
+    state, still_open = keep(groups.select(
         *GROUP, F.floor((F.col("n") + 1) / 2).alias("r"),
         (F.col("rmin") / 2).alias("lo"), (F.col("rmax") * 2).alias("hi"),
         F.lit(0).cast(WIDE_COUNT).alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
     ))
     for _ in range(max_rounds):
-        active = state.where((F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck"))
-        if active.isEmpty():
+        if not still_open:
             break
+        active = state.where(open_cond)
         cuts = active.select(
             *GROUP, "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(thresholds - 1))).alias("_j")
         ).select(*GROUP, "_j", (F.col("lo") * F.pow(F.col("hi") / F.col("lo"), F.col("_j") / thresholds)).alias("_t"))
@@ -167,9 +175,8 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         nxt = nxt.withColumn(
             "stuck", F.col("stuck") | ((F.col("lo") == F.col("_lo0")) & (F.col("hi") == F.col("_hi0")))
         ).drop("_lo0", "_hi0")
-        state = materialize(nxt)
-    unresolved = state.where((F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck"))
-    if not unresolved.isEmpty():  # cannot happen: each round narrows the bracket 16x or sticks
+        state, still_open = keep(nxt)
+    if still_open:  # cannot happen: each round narrows the bracket 16x or sticks
         raise RuntimeError(f"pair bracket did not converge in {max_rounds} rounds")
 
     # final pass: ask positions of each bid's bracket (lo, hi]
