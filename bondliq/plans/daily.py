@@ -30,9 +30,13 @@ class DayOutputs:
     liquidity: str
 
 
+# Result table names (fixed values)
+TSQ_TABLE, OTC_TABLE, LIQUIDITY_TABLE = "tsq_metrics", "otc_metrics", "metrics_merged_with_ranks"
+
+
 def outputs(root: str) -> DayOutputs:
     root = root.rstrip("/")
-    return DayOutputs(f"{root}/tsq_metrics", f"{root}/otc_metrics", f"{root}/metrics_merged_with_ranks")
+    return DayOutputs(f"{root}/{TSQ_TABLE}", f"{root}/{OTC_TABLE}", f"{root}/{LIQUIDITY_TABLE}")
 
 
 # Table keys and the stated order that picks the kept row of a repeated key
