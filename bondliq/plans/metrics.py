@@ -27,7 +27,7 @@ def spreads(quotes: DataFrame) -> DataFrame:
 
 
 def quote_profile(spread_rows: DataFrame) -> DataFrame:
-    """Per bond: providers_cnt, qdays_cnt (A3, A4) and the largest day group.
+    """Per bond: providers_cnt, qdays_cnt (A3, A4), quote rows and the largest day group.
 
     One aggregation tree over (bond, date, prov) rows, partial at every level:
     the (bond, date) branch gives quoted days and day-group sizes, the
@@ -39,8 +39,13 @@ def quote_profile(spread_rows: DataFrame) -> DataFrame:
     per_day = days.groupBy("bond").agg(
         F.count(F.lit(1)).cast("bigint").alias("qdays_cnt"), F.max("rows").alias("max_day_rows")
     )
-    provs = level.groupBy("bond", "prov").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("days"))
-    per_prov = provs.groupBy("bond").agg(F.count(F.lit(1)).cast("bigint").alias("providers_cnt"))
+    provs = level.groupBy("bond", "prov").agg(F.sum("rows").alias("rows"))
+    # the row total keeps this branch on the shared first-level aggregate (a
+    # branch that only counted (bond, prov) groups would be rewritten into its
+    # own pass over the quotes)
+    per_prov = provs.groupBy("bond").agg(
+        F.count(F.lit(1)).cast("bigint").alias("providers_cnt"), F.sum("rows").alias("quote_rows")
+    )
     return per_day.join(per_prov, "bond")
 
 
