@@ -219,8 +219,14 @@ def pair_profile(keys: DataFrame, groups: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("qdays_cnt"), F.max("d").alias("max_day_pairs"),
         F.max("n").alias("max_day_weighted_pairs"),
     )
-    per_prov = keys.groupBy("bond", "prov").agg(F.sum("k").alias("k")).groupBy("bond").agg(
-        F.count(F.lit(1)).cast("bigint").alias("providers_cnt")
+    # the distinct-value counts keep this branch on the shared side-value
+    # aggregations (one scan per side); a branch that only counted keys would
+    # be rewritten into its own pass over the quotes
+    per_prov = keys.groupBy("bond", "prov").agg(
+        F.sum(_pairs("kd", "md")).alias("d"), F.sum(_pairs("k", "m")).alias("n")
+    ).groupBy("bond").agg(
+        F.count(F.lit(1)).cast("bigint").alias("providers_cnt"), F.max("d").alias("max_prov_pairs"),
+        F.max("n").alias("max_prov_weighted_pairs"),
     )
     return per_day.join(per_prov, "bond")
 
