@@ -20,7 +20,7 @@ from bondliq.operators.clean import exchange_clean, listed, listing_plan, otc_cl
 from bondliq.operators.counts import quote_counts
 from bondliq.operators.dedupe import dedupe_by_key
 from bondliq.operators.enforce import split_rejects
-from bondliq.operators.merge import coverage_merge, global_aggs, merge_metrics, with_global_aggs
+from bondliq.operators.merge import coverage_merge, global_aggs, merge_metrics
 from bondliq.plans import liquidity as liq
 from bondliq.plans import metrics as met
 from bondliq.session import staging_path
