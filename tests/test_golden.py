@@ -116,3 +116,16 @@ def test_profile_bounds_switch_to_split_plan(spark):
     _, tsq_w, otc_w = _run(spark, median_method="window")
     assert sorted(map(tuple, tsq.collect())) == sorted(map(tuple, tsq_w.collect()))
     assert sorted(map(tuple, otc.collect())) == sorted(map(tuple, otc_w.collect()))
+
+
+def test_empty_inputs_give_empty_tables(spark):
+    bonds_raw, ex_raw, otc_raw = golden.frames(spark)
+    bonds = strict_bonds(bonds_raw)
+    none_ex, none_otc = ex_raw.limit(0), otc_raw.limit(0)
+    tsq = exchange_metrics(none_ex, bonds)
+    otc = otc_metrics(none_otc, bonds)
+    assert tsq.count() == 0 and otc.count() == 0
+    lt = liquidity_table(tsq, otc, bonds, golden.WEIGHTS, golden.ANCHOR)
+    assert lt.count() == 0 and lt.columns == schemas.LIQUIDITY_COLUMNS
+    no_bonds = strict_bonds(bonds_raw.limit(0))
+    assert exchange_metrics(ex_raw, no_bonds).count() == 0
