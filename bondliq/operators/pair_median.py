@@ -168,13 +168,15 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
                 *GROUP, "r",
                 F.coalesce(F.col("b.t"), F.col("lo")).alias("lo"), F.coalesce(F.col("a.t"), F.col("hi")).alias("hi"),
                 F.coalesce(F.col("b.d"), F.col("d_lo")).alias("d_lo"), F.coalesce(F.col("a.d"), F.col("d_hi")).alias("d_hi"),
-                "stuck", F.col("lo").alias("_lo0"), F.col("hi").alias("_hi0"),
+                "stuck", F.col("lo").alias("_lo0"), F.col("hi").alias("_hi0"), open_cond.alias("_was_open"),
             )
         )
-        # no cut point fell strictly inside: the bracket cannot be split further
-        nxt = nxt.withColumn(
-            "stuck", F.col("stuck") | ((F.col("lo") == F.col("_lo0")) & (F.col("hi") == F.col("_hi0")))
-        ).drop("_lo0", "_hi0")
+        # an open bracket that no cut point split cannot be split further
+        # (settled brackets get no cuts and keep their bounds: not stuck)
+        unchanged = (F.col("lo") == F.col("_lo0")) & (F.col("hi") == F.col("_hi0"))
+        nxt = nxt.withColumn("stuck", F.col("stuck") | (F.col("_was_open") & unchanged)).drop(
+            "_lo0", "_hi0", "_was_open"
+        )
         state, still_open = keep(nxt)
     if still_open:  # cannot happen: each round narrows the bracket 16x or sticks
         raise RuntimeError(f"pair bracket did not converge in {max_rounds} rounds")

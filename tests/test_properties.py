@@ -2,7 +2,7 @@
 
 import math
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -48,8 +48,14 @@ prices = st.integers(90, 110).map(float)
 sides = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 1), prices), min_size=1, max_size=40)
 
 
-@SETTINGS
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
 @given(bids=sides, asks=sides, cap=st.sampled_from([3, 10, 10_000]))
+@example(  # a day settled in round 1 while another day still needs rounds
+    bids=[(0, 0, 98.0), (2, 0, 101.0), (0, 1, 101.0), (2, 0, 92.0), (0, 0, 110.0)],
+    asks=[(0, 0, 108.0), (0, 0, 101.0), (0, 0, 102.0), (0, 0, 103.0), (0, 0, 95.0), (0, 0, 102.0),
+          (2, 0, 99.0), (0, 0, 90.0), (0, 0, 90.0), (0, 0, 90.0), (0, 0, 90.0), (2, 0, 90.0)],
+    cap=3,
+)
 def test_pair_medians_equal_listing(spark, bids, asks, cap):
     b = spark.createDataFrame(bids, "bond long, prov long, bid double").withColumn("date", F.current_date())
     a = spark.createDataFrame(asks, "bond long, prov long, ask double").withColumn("date", F.current_date())
