@@ -67,3 +67,37 @@ def test_pair_medians_equal_listing(spark, bids, asks, cap):
     exp = {k: _lower(v) for k, v in spreads.items()}
     got = {r["bond"]: r["m"] for r in pair_spread_medians(b, a, "m", pair_cap=cap, partitions=4).collect()}
     assert got == exp
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30), st.integers(0, 5)), min_size=1, max_size=150,
+                     unique_by=lambda r: (r[0], r[1])),
+       parts=st.sampled_from([None, 1, 3, 7]))
+def test_cumulative_within_equals_running_sums(spark, rows, parts):
+    from bondliq.operators.cumulative import cumulative_within
+
+    df = spark.createDataFrame(rows, "g long, o long, w long")
+    got = {(r["g"], r["o"]): r["cum_w"] for r in cumulative_within(df, ["g"], ["o"], ["w"], partitions=parts).collect()}
+    exp = {}
+    for g in {r[0] for r in rows}:
+        total = 0
+        for _, o, w in sorted(r for r in rows if r[0] == g):
+            total += w
+            exp[(g, o)] = total
+    assert got == exp
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 3)), st.text("ab", max_size=2)),
+                     min_size=1, max_size=60))
+def test_dedupe_keeps_first_under_order(spark, rows):
+    from bondliq.operators.dedupe import dedupe_by_key
+
+    df = spark.createDataFrame(rows, "k long, o long, p string")
+    got = {r["k"]: (r["o"], r["p"]) for r in dedupe_by_key(df, ["k"], ["o"]).collect()}
+    exp = {}
+    for k, o, p in rows:
+        key = (o is not None, o if o is not None else 0, p)  # nulls first, then order, then the rest
+        if k not in exp or key < exp[k][0]:
+            exp[k] = (key, (o, p))
+    assert got == {k: v for k, (_, v) in exp.items()}
