@@ -23,7 +23,7 @@ def _by_id(df):
     return {r["id"]: r.asDict() for r in df.collect()}
 
 
-@pytest.mark.parametrize("method", ["exact", "window", "aggregate", "split"])
+@pytest.mark.parametrize("method", ["exact", "window", "aggregate", "split", "approx"])
 def test_market_metrics(spark, method):
     _, tsq, otc = _run(spark, median_method=method)
     t, o = _by_id(tsq), _by_id(otc)
@@ -129,3 +129,21 @@ def test_empty_inputs_give_empty_tables(spark):
     assert lt.count() == 0 and lt.columns == schemas.LIQUIDITY_COLUMNS
     no_bonds = strict_bonds(bonds_raw.limit(0))
     assert exchange_metrics(ex_raw, no_bonds).count() == 0
+
+
+def test_bond_without_median_fails_or_is_rejected(spark):
+    """Every mid of bond 9 is zero (ask = -bid): no median. The production
+    schema says non-null, so the job fails by default; reject drops the bond."""
+    from pyspark.errors import PySparkException
+
+    import datetime as dt
+
+    bonds_raw, ex_raw, _ = golden.frames(spark)
+    extra_bond = spark.createDataFrame([(9, "XS09", 1.0, None, None)], golden.BONDS_SCHEMA)
+    extra_quotes = spark.createDataFrame([(9, 10, dt.date(2020, 1, 2), 5.0, -5.0)], golden.EXCH_SCHEMA)
+    bonds = strict_bonds(bonds_raw.unionByName(extra_bond))
+    quotes = ex_raw.unionByName(extra_quotes)
+    with pytest.raises(PySparkException):
+        exchange_metrics(quotes, bonds).collect()
+    kept = {r["id"] for r in exchange_metrics(quotes, bonds, on_null="reject").collect()}
+    assert kept == {1, 2, 7}
