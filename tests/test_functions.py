@@ -83,3 +83,16 @@ def test_business_date_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == ny
     assert inst == dt.date(2024, 1, 10)
+
+
+def test_select_weights_projects_any_source(spark):
+    from bondliq.sources.jdbc import select_weights
+
+    raw = spark.createDataFrame([(1, "baspread_rel_rank_w", "0.3", "x")], "n long, rank string, weight string, note string")
+    out = select_weights(raw)
+    assert out.columns == ["rank", "weight"] and out.first()["weight"] == 0.3
+
+
+def test_anchor_zero_uses_todays_business_date(spark):
+    got = spark.range(1).select(anchor_compact(F.lit("0")).alias("a")).first()["a"]
+    assert len(got) == 8 and got.isdigit()
