@@ -67,7 +67,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf)
     print(json.dumps({
         "metric": "liquidity_table_sec",
-        "value": times.get("liquidity_table", sum(times.values())),
+        "value": times.get("liquidity_table", round(sum(times.values()), 3)),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf,
