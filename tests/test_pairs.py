@@ -165,3 +165,33 @@ def test_wide_counts_path_equals_long_path(spark):
         got = pm.day_medians_from_values(bv, av, groups, largest, "m", largest_day_weighted_pairs=None,
                                          pair_cap=cap, partitions=4).collect()
         assert {(r["bond"], str(r["date"])): r["m"] for r in got} == pytest.approx(exp, rel=1e-15)
+
+
+def test_several_hot_days_on_table_data_against_duckdb(spark):
+    """Three hot days (lineitem of sf0.001 split by return flag, three
+    providers each) settle in different rounds; each equals DuckDB listing
+    every pair."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF001
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    day = (F.when(F.col("l_returnflag") == "R", "2020-01-01").when(F.col("l_returnflag") == "A", "2020-01-02")
+           .otherwise("2020-01-03"))
+    base = li.select(F.lit(1).cast("long").alias("bond"), (F.col("l_suppkey") % 3).alias("prov"),
+                     day.cast("date").alias("date"), "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+    bids = base.where(F.col("l_linenumber") % 2 == 0).select(
+        "bond", "prov", "date", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("bid"))
+    asks = base.where(F.col("l_linenumber") % 2 == 1).select(
+        "bond", "prov", "date", (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("ask"))
+    got = {str(r["date"]): r["m"] for r in pair_spread_medians(bids, asks, "m", pair_cap=5000).collect()}
+    exp = dict(duckdb.sql(f"""
+        WITH base AS (SELECT CASE WHEN l_returnflag = 'R' THEN '2020-01-01' WHEN l_returnflag = 'A' THEN '2020-01-02'
+                        ELSE '2020-01-03' END AS d, l_suppkey % 3 AS prov, l_extendedprice, l_discount, l_tax,
+                        l_linenumber FROM read_parquet('{SF001}/lineitem.parquet')),
+        b AS (SELECT d, prov, l_extendedprice * (1 - l_discount) AS bid FROM base WHERE l_linenumber % 2 = 0),
+        a AS (SELECT d, prov, l_extendedprice * (1 + l_tax) AS ask FROM base WHERE l_linenumber % 2 = 1)
+        SELECT d, quantile_disc((ask - bid) / ((ask + bid) / 2), 0.5) FROM b JOIN a USING (d, prov) GROUP BY d
+        """).fetchall())
+    assert got == exp and len(got) == 3
