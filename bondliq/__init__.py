@@ -16,7 +16,8 @@ Layout
   streaming/  file-triggered daily runs on Structured Streaming
 """
 
+from bondliq.plans.daily import run_day, run_days
 from bondliq.plans.liquidity import liquidity_table
 from bondliq.plans.metrics import exchange_metrics, otc_metrics, quote_metrics
 
-__all__ = ["exchange_metrics", "liquidity_table", "otc_metrics", "quote_metrics"]
+__all__ = ["exchange_metrics", "liquidity_table", "otc_metrics", "quote_metrics", "run_day", "run_days"]
