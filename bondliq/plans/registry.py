@@ -87,14 +87,17 @@ def _median_via_sql(i: Inputs) -> DataFrame:
     spark = i.spark
     tag = uuid.uuid4().hex[:10]
     met.spreads(i.exchange()).createOrReplaceTempView(f"spreads_{tag}")
-    spark.sql(
-        f"SELECT bond, `date`, percentile_disc(0.5) WITHIN GROUP (ORDER BY ba_spread) AS median_of_tgs "
-        f"FROM spreads_{tag} GROUP BY bond, `date`"
-    ).createOrReplaceTempView(f"days_{tag}")
-    return spark.sql(
-        f"SELECT bond, percentile_disc(0.5) WITHIN GROUP (ORDER BY median_of_tgs) "
-        f"AS bid_ask_spread_relative_median FROM days_{tag} GROUP BY bond"
-    )
+    # the lower median in SQL text: the row at rank ceil(n/2) of each group
+    # (the window plan of operators.median; nulls last and not counted)
+    lower = """SELECT {keys}, {v} AS {out} FROM (
+      SELECT {keys}, {v},
+        row_number() OVER (PARTITION BY {keys} ORDER BY {v} ASC NULLS LAST) AS rn,
+        count({v}) OVER (PARTITION BY {keys}) AS n
+      FROM {src}) WHERE rn = greatest(floor((n + 1) / 2), 1)"""
+    spark.sql(lower.format(keys="bond, `date`", v="ba_spread", out="median_of_tgs", src=f"spreads_{tag}")) \
+        .createOrReplaceTempView(f"days_{tag}")
+    return spark.sql(lower.format(keys="bond", v="median_of_tgs", out="bid_ask_spread_relative_median",
+                                  src=f"days_{tag}"))
 
 
 def _otc_sides(i: Inputs) -> DataFrame:
