@@ -55,3 +55,14 @@ def test_listed_quotes_broadcast_bonds_at_small_scale(spark):
 def test_no_python_evaluation(spark, key):
     plan = formatted(REGISTRY[key](spark, SF001))
     assert not any(node in plan for node in PYTHON_NODES), key
+
+
+def test_bounded_medians_use_the_window_plan(spark):
+    from bondliq.operators.median import lower_median
+
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0)], "g long, v double")
+    window = formatted(lower_median(df, ["g"], "v", "m"))
+    assert "Window" in window and "percentile" not in window.lower()
+    split = formatted(lower_median(df, ["g"], "v", "m", hot_rows=1))
+    assert "Window" in split and "percentile" not in split.lower()
+    assert "rangepartitioning" not in split.lower()  # the split is read back from its checkpoint
