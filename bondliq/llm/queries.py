@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bondliq.llm import bpe, token_files
+from bondliq.llm import bpe, langid, packing, quality, token_files
 from bondliq.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,18 @@ def op2_token_files(spark, sf):
     return token_files.written_and_read(table(spark, sf, "documents"), BYTE_BPE, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files)}
+def op3_quality(spark, sf):
+    return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op6_langid(spark, sf):
+    return langid.predict(table(spark, sf, "documents"))
+
+
+def op7_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), WORD_BPE, end_id=1, tokens=4096)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op6_langid, op7_packing)}
 #: DuckDB SQL where SQL can express the query
 ORACLE = {}
