@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bondliq.llm import bpe, langid, packing, quality, token_files
+from bondliq.llm import bpe, langid, mih, neardup, packing, quality, token_files
 from bondliq.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,10 @@ def op3_quality(spark, sf):
     return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op4_neardup(spark, sf):
+    return neardup.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op6_langid(spark, sf):
     return langid.predict(table(spark, sf, "documents"))
 
@@ -31,6 +35,11 @@ def op7_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), WORD_BPE, end_id=1, tokens=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op6_langid, op7_packing)}
+def op9_mih(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    return mih.search(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op6_langid, op7_packing, op9_mih)}
 #: DuckDB SQL where SQL can express the query
 ORACLE = {}
