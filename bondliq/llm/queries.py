@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bondliq.llm import bpe, langid, mih, neardup, packing, quality, token_files
+from bondliq.llm import bpe, langid, mih, neardup, packing, pii, quality, token_files
 from bondliq.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,10 @@ def op4_neardup(spark, sf):
     return neardup.near_duplicates(table(spark, sf, "embeddings"))
 
 
+def op5_pii(spark, sf):
+    return pii.report(table(spark, sf, "documents"))
+
+
 def op6_langid(spark, sf):
     return langid.predict(table(spark, sf, "documents"))
 
@@ -40,6 +44,6 @@ def op9_mih(spark, sf):
     return mih.search(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op6_langid, op7_packing, op9_mih)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op9_mih)}
 #: DuckDB SQL where SQL can express the query
 ORACLE = {}

@@ -37,6 +37,28 @@ def chunks(text: str) -> list[str]:
     return [head, *[" " + x for x in rest]] if head else [" " + x for x in rest]
 
 
+#: ASCII marks that are neither letter, number nor white space
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
+def atoms(chunk: str) -> list[str]:
+    """A chunk cut around single line ends and before closing marks: cuts that the
+    split patterns make themselves, so a word is encoded once whatever follows it."""
+    lines = chunk.split("\n")
+    if any(not x or x[-1] in WHITE_SPACE for x in lines) or any(x[0] in WHITE_SPACE for x in lines[1:]):
+        return [chunk]
+    out = []
+    for i, line in enumerate(lines):
+        if i:
+            out.append("\n")
+        core = line.rstrip(MARKS)
+        if core != line and core and core[-1].isalnum():
+            out += [core, line[len(core):]]
+        else:
+            out.append(line)
+    return out
+
+
 class Memo(dict):
     """chunk -> value of ``make(chunk)``, in two generations: when the young one is full
     it becomes the old one, and what is met again moves back, so frequent chunks stay."""
@@ -102,12 +124,16 @@ class LibraryEncoder:
 
     def _one(self, chunk: str) -> bytes:
         value = self.fresh.get(chunk)
-        return self._encode(chunk) if value is None else value
+        if value is not None:
+            return value
+        parts = atoms(chunk)
+        return b"".join(map(self.memo.__getitem__, parts)) if len(parts) > 1 else self._encode(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         cut = [chunks(x) if x and self.splittable(x) else None for x in texts]
         memo = self.memo
-        lacking = [c for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old]
+        new = [c for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old]
+        lacking = [c for c in set().union(*map(atoms, new)) if c not in memo and c not in memo.old]
         self.fresh = {}
         if len(self.between_id) == 1:
             plain = [c for c in lacking if self._joinable(c)]
