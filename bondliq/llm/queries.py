@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bondliq.llm import bpe, langid, mih, neardup, packing, pii, quality, token_files
+from bondliq.llm import bpe, jaccard, langid, mih, neardup, packing, pii, quality, token_files
 from bondliq.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,11 +39,15 @@ def op7_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), WORD_BPE, end_id=1, tokens=4096)
 
 
+def op8_jaccard(spark, sf):
+    return jaccard.join(table(spark, sf, "documents"), threshold=(85, 100), width=4)
+
+
 def op9_mih(spark, sf):
     rows = table(spark, sf, "embeddings")
     return mih.search(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op9_mih)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op8_jaccard, op9_mih)}
 #: DuckDB SQL where SQL can express the query
 ORACLE = {}
