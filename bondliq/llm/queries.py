@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bondliq.llm import bpe, jaccard, langid, mih, neardup, packing, pii, quality, token_files
+from bondliq.llm import bpe, jaccard, langid, lm, mih, neardup, packing, pii, quality, token_files
 from bondliq.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,10 @@ def op9_mih(spark, sf):
     return mih.search(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op8_jaccard, op9_mih)}
+def op10_lm(spark, sf):
+    return lm.score(table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op8_jaccard, op9_mih, op10_lm)}
 #: DuckDB SQL where SQL can express the query
 ORACLE = {}
