@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bondliq.llm.common import fold
+from bondliq.llm.common import fold, written
 from bondliq.llm.tokens import Memo
 
 LONGEST = 4
@@ -52,21 +53,21 @@ class Model:
         self.langs = langs
         self.tables = [self._logs(t, totals[n]) for n, t in enumerate([words, *by_length[1:]])]
         self.memo = Memo(self._word, 200_000)
-        self.unknown = np.zeros(len(langs))
+        self.unknown = (0.0,) * len(langs)
 
     @staticmethod
     def _logs(counts: dict, total: np.ndarray) -> dict:
         floor = total + 0.5 * (len(counts) + 1)
-        return {k: np.log((v + 0.5) / floor) for k, v in counts.items()}
+        return {k: tuple(np.log((v + 0.5) / floor).tolist()) for k, v in counts.items()}
 
-    def _word(self, word: str) -> np.ndarray:
+    def _word(self, word: str) -> tuple:
         known = self.tables[0].get(word)
         if known is not None:
             return known
         for n in range(LONGEST, 0, -1):
             found = [x for g in grams(word, n) if (x := self.tables[n].get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return tuple([sum(x) / len(found) for x in zip(*found)])
         return self.unknown
 
     def classify(self, text: str | None) -> tuple[str, float]:
@@ -81,7 +82,7 @@ class Model:
         return self.langs[best], float(share[best] / share.sum())
 
 
-def fit(docs: DataFrame, train_rows: int = 20_000, max_words: int = 60_000, max_grams: int = 30_000) -> Model:
+def fit(docs: DataFrame, train_rows: int = 5_000, max_words: int = 60_000, max_grams: int = 30_000) -> Model:
     """Fit on ``docs`` (doc_id, text, lang) with non-null lang."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     n = rows.count()
@@ -89,24 +90,27 @@ def fit(docs: DataFrame, train_rows: int = 20_000, max_words: int = 60_000, max_
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # words of a batch, then the n-grams of its distinct words: a map-side combine
-        for b in batches:
+        for b in batches:  # a map-side combine
             found: dict[str, Counter] = {}
             for lang, text in zip(b["lang"], b["text"]):
                 found.setdefault(lang, Counter()).update(words_of(text))
-            out = []
-            for lang, words in found.items():
-                out += [(lang, 0, w, k) for w, k in words.items()]
-                for size in range(1, LONGEST + 1):
-                    parts: Counter = Counter()
-                    for w, k in words.items():
-                        for g in grams(w, size):
-                            parts[g] += k
-                    out += [(lang, size, g, k) for g, k in parts.items()]
+            out = [(lang, 0, w, k) for lang, words in found.items() for w, k in words.items()]
             yield pd.DataFrame(out, columns=["lang", "size", "key", "n"])
 
-    counts = sample.select("lang", "text").mapInPandas(counted, "lang string, size int, key string, n long")
-    spread = counts.groupBy("size", "key", "lang").agg(F.sum("n").alias("n"))
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found: Counter = Counter()
+            for lang, w, k in zip(b["lang"], b["key"], b["n"]):
+                for size in range(1, LONGEST + 1):
+                    for g in grams(w, size):
+                        found[lang, size, g] += k
+            yield pd.DataFrame([(*x, k) for x, k in found.items()], columns=["lang", "size", "key", "n"])
+
+    schema = "lang string, size int, key string, n long"
+    words = sample.select("lang", "text").mapInPandas(counted, schema).groupBy("size", "key", "lang").agg(F.sum("n").alias("n"))
+    words = written(words.select("lang", "size", "key", "n"), "words")
+    # each distinct word is cut into n-grams once
+    spread = written(words.unionByName(words.mapInPandas(cut, schema)).groupBy("size", "key", "lang").agg(F.sum("n").alias("n")), "grams")
     totals = spread.groupBy("size", "lang").agg(F.sum("n").alias("n"))
     keys = spread.groupBy("size", "key").agg(F.sum("n").alias("total"), F.map_from_entries(
         F.collect_list(F.struct("lang", "n"))).alias("by_lang"))  # a row per language
@@ -143,6 +147,21 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     return kept.mapInPandas(run, schema)
 
 
+def kept(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a language whose score is ``threshold`` or more, with
+    all their columns; learned from the rows that ``predict`` learns from."""
+    model = fit(docs.where(fold("doc_id", 3) != 1).select("doc_id", "text", "lang"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            found = [m.classify(x) for x in b.column(b.schema.get_field_index("text")).to_pylist()]
+            yield b.filter(pa.array([lang != "und" and s >= threshold for lang, s in found], type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score; learned from the rows whose id's
     crc32 leaves another remainder than ``held``."""

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -178,20 +179,40 @@ def fit(rows: DataFrame, features: int = 96, ridge: float = 0.3, bins: int = 512
     return model
 
 
-def score(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 5, threshold: float = 0.3) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted, learned
-    from the labels of documents whose id's crc32 is not divisible by ``modulus``."""
-    stats = written(document_statistics(docs.select(F.col("doc_id").cast("long"), "text")), "stats")
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 5) -> tuple[Model | None, DataFrame]:
+    """The model that labels of documents teach whose id's crc32 is not divisible by
+    ``modulus``, and the written statistics of all rows (doc_id, stats)."""
+    stats = written(document_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "stats")
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(label).cast("double").alias("label"))
     rest = fold("doc_id", modulus)
     rows = stats.join(known, "doc_id").where(rest != 0).select("stats", "label", (rest % FOLDS).cast("int").alias("part"))
-    model = fit(written(rows, "labelled"))
+    return fit(written(rows, "labelled")), stats
+
+
+def score(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 5, threshold: float = 0.3) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted."""
+    model, stats = learn(docs, labels, label, modulus)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             s = model.score(_matrix(b["stats"])) if model else np.full(len(b), 0.5)
             yield b.drop(columns=["stats"]).assign(score=s, predicted=(s >= threshold).astype("int32"))
 
-    held = stats.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "stats")
+    held = stats.select("doc_id", F.coalesce(fold("doc_id", modulus) == 0, F.lit(False)).alias("held_out"), "stats")
     return held.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
+    model, _ = learn(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index("text")).to_pylist()
+            if model and texts:
+                s = model.score(np.array([statistics(x or "") for x in texts]))
+                b = b.filter(pa.array(s >= threshold))
+            yield b
+
+    return docs.mapInArrow(run, docs.schema)
