@@ -122,18 +122,21 @@ class LibraryEncoder:
         data = ids.tobytes()
         return {c: data[4 * a:4 * b] for c, a, b in zip(some, begins, ends, strict=True)}
 
+    def _atoms(self, chunk: str) -> list[str]:
+        return [chunk] if any(t in chunk for t in self.special) else atoms(chunk)
+
     def _one(self, chunk: str) -> bytes:
         value = self.fresh.get(chunk)
         if value is not None:
             return value
-        parts = atoms(chunk)
+        parts = self._atoms(chunk)
         return b"".join(map(self.memo.__getitem__, parts)) if len(parts) > 1 else self._encode(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         cut = [chunks(x) if x and self.splittable(x) else None for x in texts]
         memo = self.memo
         new = [c for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old]
-        lacking = [c for c in set().union(*map(atoms, new)) if c not in memo and c not in memo.old]
+        lacking = [c for c in set().union(*map(self._atoms, new)) if c not in memo and c not in memo.old]
         self.fresh = {}
         if len(self.between_id) == 1:
             plain = [c for c in lacking if self._joinable(c)]
