@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -38,7 +39,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def let_go(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, and let Spark's cleaner drop
+    the shuffle files of jobs that are over."""
+    jvm = spark.sparkContext._jvm
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def local_path(path: str) -> str | None:
