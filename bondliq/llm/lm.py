@@ -45,9 +45,9 @@ MIN_COUNT = (1, 2, 3)
 DISCOUNT, SMOOTH = 0.75, 0.1
 END = np.uint64(xxhash.xxh64_intdigest(b"", seed=1))
 #: tokens worked on at once, and the quantised range of log10
-BLOCK_TOKENS, LOWEST, STEPS = 1_000_000, -14.0, 65_535
+BLOCK_TOKENS, LOWEST, STEPS = 400_000, -14.0, 65_535
 ID_BITS = 31
-_WORDS = Memo(xxhash.xxh64_intdigest, 300_000)
+_WORDS = Memo(xxhash.xxh64_intdigest, 150_000)
 
 
 def tokens(text: str | None) -> np.ndarray:
