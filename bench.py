@@ -19,10 +19,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from bondliq.plans import liquidity as liq  # noqa: E402
 from bondliq.plans.registry import REGISTRY, Inputs  # noqa: E402
 from bondliq.session import local_session  # noqa: E402
 from bondliq.sources import fixtures as fx  # noqa: E402
+from tests.single_partition import window_liquidity  # noqa: E402
 
 HEADLINE = [
     "liquidity_table",
@@ -38,8 +38,7 @@ HEADLINE = [
 def _window_liquidity(spark, sf):
     """The same table with the single-partition row_number windows (comparison)."""
     i = Inputs(spark, sf)
-    return liq.liquidity_table(i.tsq_metrics(), i.otc_metrics(), i.bonds(), fx.WEIGHTS, fx.ANCHOR_DATE,
-                               positions="window")
+    return window_liquidity(i.tsq_metrics(), i.otc_metrics(), i.bonds(), fx.WEIGHTS, fx.ANCHOR_DATE)
 
 
 def _run(spark, fn, sf) -> float:

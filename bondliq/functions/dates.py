@@ -18,6 +18,9 @@ CLAMP_LIMIT = "2037-12-30"
 CLAMP_SENTINEL = "1970-01-01"
 
 
+_EPOCH = "1970-01-01 00:00:00"
+
+
 def business_date(
     ts: Column | str,
     zone: str = BUSINESS_ZONE,
@@ -31,8 +34,11 @@ def business_date(
     Either way the result does not depend on the session time zone.
     """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    source = F.current_timezone() if source_zone is None else F.lit(source_zone)
-    local = F.convert_timezone(source, F.lit(zone), ts.cast("timestamp_ntz"))
+    if source_zone is None:  # from the instant itself: a session zone's repeated hour is two instants
+        local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")))
+    else:
+        local = F.convert_timezone(F.lit(source_zone), F.lit(zone), ts.cast("timestamp_ntz"))
     return F.to_date(local - F.make_dt_interval(F.lit(0), F.lit(cutoff_hours)))
 
 

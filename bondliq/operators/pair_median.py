@@ -16,13 +16,14 @@ k * m rows is quadratic for a hot key, so:
    (a sorted rank lookup on a range split, ``cumulative_within``); the bracket
    holding rank ceil(n/2) is kept. When it holds at most ``pair_cap``
    distinct pairs, only those pairs are listed (by ask position per bid) and
-   the remaining rank is selected among them. If a bracket can no longer be
-   split (its bounds are adjacent doubles, so its pairs share one ratio up to
-   the last bits), one pair stands for all of them.
-
-Pairs are ordered by ask/bid ratio across brackets and by the computed spread
-inside the last bracket; the two orders agree except for pairs whose
-computed spreads differ in the last bit.
+   the remaining rank is selected among them. A bracket whose bounds are
+   adjacent doubles ends too: each bid meets only a few distinct asks in it.
+
+Ratio and computed spread order pairs alike up to rounding, so the last bracket is
+widened on both sides by more than the rounding can move a pair (``_margin``). Pairs
+below it are certainly not above the median, pairs beyond it not below; those inside
+are listed, added up by computed spread, and the median is chosen among these values.
+The answer is the one that listing every pair gives, bit for bit, at every size.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bondliq.functions.spread import relative_spread
 from bondliq.operators.cumulative import cumulative_within
@@ -39,7 +41,6 @@ from bondliq.session import materialize
 # Distinct bid x ask value pairs of one day group listed at once.
 PAIR_CAP = 1_000_000
 THRESHOLDS = 16
-MAX_ROUNDS = 64
 
 GROUP = ["bond", "date"]
 KEY = ["bond", "prov", "date"]
@@ -96,7 +97,10 @@ def weighted_lower_median(
     keys = list(keys)
     w = Window.partitionBy(*keys)
     run = w.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    target = F.col(rank) if rank else F.floor((F.sum(weight).over(w) + 1) / 2)
+    total = F.sum(weight).over(w)
+    exact = isinstance(df.schema[weight].dataType, T.LongType)  # long division stays exact past 2^53
+    half = F.shiftright(total, 1) + F.pmod(total, F.lit(2)) if exact else F.floor((total + 1) / 2)
+    target = F.col(rank) if rank else half
     x = df.select(*keys, value, weight, *([rank] if rank else [])).select(
         "*", F.sum(weight).over(run).alias("_cum"), target.alias("_r")
     )
@@ -112,6 +116,13 @@ def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str, kind: str = WIDE_CO
     return weighted_lower_median(spreads, GROUP, "_s", "_w", alias)
 
 
+def _margin(t):
+    """Share of a ratio ``t`` that covers the rounding of a cut point's product and of
+    a computed spread: the spread (t - 1) / (t + 1) * 2 has an error of a few units in
+    the last place, which moves the ratio by (t - 1)(t + 1) / 2 times that."""
+    return F.lit(2.0 ** -48) * (1 + t + 1 / t)
+
+
 def _lookup(asks_u: DataFrame, probes: DataFrame, parts: int | None) -> DataFrame:
     """Per probe (and per ask), cumulative ask weight ``cum__aw`` and ask count
     ``cum__ad`` of its key up to its value (asks first on equal values)."""
@@ -120,7 +131,7 @@ def _lookup(asks_u: DataFrame, probes: DataFrame, parts: int | None) -> DataFram
 
 
 def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str, *,
-           pair_cap: int, thresholds: int, max_rounds: int, parts: int | None, kind: str = WIDE_COUNT) -> DataFrame:
+           pair_cap: int, thresholds: int, parts: int | None, kind: str = WIDE_COUNT) -> DataFrame:
     gsel = groups.select(*GROUP)
     bh = bids_v.join(gsel, GROUP, "left_semi").select(*KEY, "bid", F.col("w").alias("_bw"))
     asks_u = asks_v.join(gsel, GROUP, "left_semi").select(
@@ -141,9 +152,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         (F.col("rmin") / 2).alias("lo"), (F.col("rmax") * 2).alias("hi"),
         F.lit(0).cast(WIDE_COUNT).alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
     ))
-    for _ in range(max_rounds):
-        if not still_open:
-            break
+    while still_open:  # each round narrows a bracket or finds that it cannot be split
         active = state.where(open_cond)
         cuts = active.select(
             *GROUP, "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(thresholds - 1))).alias("_j")
@@ -178,11 +187,10 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
             "_lo0", "_hi0", "_was_open"
         )
         state, still_open = keep(nxt)
-    if still_open:  # cannot happen: each round narrows the bracket 16x or sticks
-        raise RuntimeError(f"pair bracket did not converge in {max_rounds} rounds")
 
-    # final pass: ask positions of each bid's bracket (lo, hi]
-    ends = bh.join(state.select(*GROUP, "lo", "hi"), GROUP)
+    # final pass: ask positions of each bid's widened bracket (lo, hi]
+    lo, hi = F.col("lo"), F.col("hi")
+    ends = bh.join(state.select(*GROUP, (lo * (1 - _margin(lo))).alias("lo"), (hi * (1 + _margin(hi))).alias("hi")), GROUP)
     probes = ends.select(*KEY, (F.col("bid") * F.col("lo")).alias("_x"), F.lit(1).alias("_kind"),
                          F.lit(0).cast("long").alias("_aw"), F.lit(0).cast("long").alias("_ad"),
                          "bid", "_bw", F.lit("lo").alias("_end")).unionByName(
@@ -199,19 +207,15 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         F.max(F.when(F.col("_end") == "lo", F.col("cum__aw"))).alias("_wlo"),
     )
     c_lo = per_bid.groupBy(*GROUP).agg(F.sum(_pairs("_bw", "_wlo", kind)).alias("c_lo"))
-    spans = per_bid.where(F.col("_phi") > F.col("_plo")).join(state.select(*GROUP, "stuck"), GROUP)
-    # listed brackets (bounded by pair_cap distinct pairs per group)
-    listed = spans.where(~F.col("stuck")).select(
+    spans = per_bid.where(F.col("_phi") > F.col("_plo"))
+    # pair_cap distinct pairs a group, or a few asks to each bid
+    listed = spans.select(
         *KEY, "bid", "_bw", F.explode(F.sequence(F.col("_plo") + 1, F.col("_phi"))).alias("_pos")
     ).join(asks_pos, [*KEY, "_pos"])
     cand = listed.select(*GROUP, relative_spread("bid", "ask").alias("_s"), _pairs("_bw", "_aw", kind).alias("_w"))
+    cand = cand.groupBy(*GROUP, "_s").agg(F.sum("_w").cast(kind).alias("_w"))
     rank = state.select(*GROUP, "r").join(c_lo, GROUP).select(*GROUP, (F.col("r") - F.col("c_lo")).alias("_rr"))
-    picked = weighted_lower_median(cand.join(rank, GROUP), GROUP, "_s", "_w", alias, rank="_rr")
-    # unsplittable brackets: every pair shares one ratio; the first pair of each bid stands for all
-    tied = spans.where(F.col("stuck")).select(*KEY, "bid", (F.col("_plo") + 1).alias("_pos")).join(
-        asks_pos, [*KEY, "_pos"]
-    ).groupBy(*GROUP).agg(F.min(relative_spread("bid", "ask")).alias(alias))
-    return picked.unionByName(tied)
+    return weighted_lower_median(cand.join(rank, GROUP), GROUP, "_s", "_w", alias, rank="_rr")
 
 
 def pair_profile(keys: DataFrame, groups: DataFrame) -> DataFrame:
@@ -243,7 +247,6 @@ def day_medians_from_values(
     largest_day_weighted_pairs: int | None = None,
     pair_cap: int = PAIR_CAP,
     thresholds: int = THRESHOLDS,
-    max_rounds: int = MAX_ROUNDS,
     partitions: int | None = None,
 ) -> DataFrame:
     """Day medians from side values and day stats (see ``pair_spread_medians``).
@@ -262,7 +265,7 @@ def day_medians_from_values(
     light = _light(bids_v.join(heavy_keys, GROUP, "left_anti"), asks_v.join(heavy_keys, GROUP, "left_anti"), alias,
                    kind)
     heavy = _heavy(bids_v, asks_v, heavy_groups, alias, pair_cap=pair_cap, thresholds=thresholds,
-                   max_rounds=max_rounds, parts=partitions, kind=kind)
+                   parts=partitions, kind=kind)
     return light.unionByName(heavy)
 
 
@@ -273,7 +276,6 @@ def pair_spread_medians(
     *,
     pair_cap: int = PAIR_CAP,
     thresholds: int = THRESHOLDS,
-    max_rounds: int = MAX_ROUNDS,
     partitions: int | None = None,
 ) -> DataFrame:
     """(bond, date, ``alias``) over all bid x ask pairs of each day.
@@ -286,4 +288,4 @@ def pair_spread_medians(
     row = groups.agg(F.max("d").alias("d"), F.max("n").alias("n")).first()
     return day_medians_from_values(bids_v, asks_v, groups, row["d"] or 0, alias,
                                    largest_day_weighted_pairs=row["n"] or 0, pair_cap=pair_cap,
-                                   thresholds=thresholds, max_rounds=max_rounds, partitions=partitions)
+                                   thresholds=thresholds, partitions=partitions)

@@ -2,35 +2,18 @@
 
 The production rule is an inner join of the two sides on (bond, prov, date):
 k bids and m asks of one key give k * m quotes, unpaired sides vanish.
-``pair_sides`` lists those rows. The metrics never need the list
-(``pair_median.pair_spread_medians`` works on it implicitly); the list itself
-is produced only when every key has at most ``pair_cap`` pairs, checked
-before the join, and refused otherwise rather than letting one key explode.
+``pair_sides`` lists those rows; adaptive execution splits the rows of a hot key
+over tasks. The metrics never need the list (``pair_median.pair_spread_medians``
+works on it implicitly).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 PAIR_KEYS = ["bond", "prov", "date"]
 
 
-def largest_key_pairs(bids: DataFrame, asks: DataFrame) -> int:
-    """max over keys of k * m (one aggregation job over both sides)."""
-    kb = bids.groupBy(*PAIR_KEYS).agg(F.count(F.lit(1)).alias("k"))
-    ka = asks.groupBy(*PAIR_KEYS).agg(F.count(F.lit(1)).alias("m"))
-    row = kb.join(ka, PAIR_KEYS).agg(F.max(F.col("k") * F.col("m")).alias("p")).first()
-    return int(row["p"] or 0)
-
-
-def pair_sides(bids: DataFrame, asks: DataFrame, pair_cap: int | None = None) -> DataFrame:
+def pair_sides(bids: DataFrame, asks: DataFrame) -> DataFrame:
     """(bond, prov, date, bid, ask) for every bid x ask of a key."""
-    if pair_cap is not None:
-        largest = largest_key_pairs(bids, asks)
-        if largest > pair_cap:
-            raise ValueError(
-                f"a (bond, prov, date) key has {largest} bid x ask pairs (cap {pair_cap}); "
-                "use pair_median.pair_spread_medians instead of listing pairs"
-            )
     return bids.join(asks, PAIR_KEYS, "inner").select(*PAIR_KEYS, "bid", "ask")

@@ -57,8 +57,3 @@ def global_position(
         .withColumn(alias, (F.col(_OFF) + F.col(_IDX) + 1).cast("bigint"))
         .drop(_PID, _IDX, _OFF)
     )
-
-
-def window_position(df: DataFrame, order: Sequence[Column], alias: str) -> DataFrame:
-    """The plain single-partition form, kept as the reference for tests."""
-    return df.withColumn(alias, F.row_number().over(Window.orderBy(*order)).cast("bigint"))

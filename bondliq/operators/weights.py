@@ -2,9 +2,8 @@
 
 The weights table is configuration (name, weight) of five rows. It is read
 once, validated (each name exactly once, nothing else required) and turned
-into literals, so Catalyst folds them into the index expression. The read is
-guarded: a table with more rows than a small bound is refused rather than
-brought to the driver.
+into literals, so Catalyst folds them into the index expression. The read is an
+aggregate: one row reaches the driver, whatever the table's size.
 """
 
 from __future__ import annotations
@@ -16,8 +15,6 @@ from pyspark.sql import functions as F
 
 from bondliq.schemas import WEIGHT_NAMES
 
-MAX_WEIGHT_ROWS = 1000
-
 
 def weights_row(weights: DataFrame) -> DataFrame:
     """The weights pivoted to one row, one column per name, plus the count of
@@ -38,9 +35,6 @@ def weights_dict(weights: DataFrame | Mapping[str, float]) -> dict[str, float]:
         if missing:
             raise ValueError(f"missing weights: {missing}")
         return {n: values[n] for n in WEIGHT_NAMES}
-    guarded = weights.limit(MAX_WEIGHT_ROWS + 1)
-    if guarded.count() > MAX_WEIGHT_ROWS:
-        raise ValueError("weights table is larger than a configuration table")
     row = weights_row(weights).first()
     out = {}
     for name in WEIGHT_NAMES:

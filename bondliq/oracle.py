@@ -157,6 +157,14 @@ def queries() -> dict[str, str]:
         "median_by_bond_date": "SELECT * FROM ex_day",
         "median_by_bond_date_dense": "SELECT * FROM dense_day",
         "median_by_bond_date_otc": "SELECT * FROM otc_day",
+        "median_by_bond_date_hot": """SELECT bond, "date", quantile_disc((ask - bid) / nullif((ask + bid) / 2, 0), 0.5)
+            AS median_of_tgs FROM hot_rows GROUP BY bond, "date\"""",
+        "median_by_bond_date_otc_hot": """SELECT b.bond, b."date",
+            quantile_disc((a.ask - b.bid) / ((a.ask + b.bid) / 2), 0.5) AS median_of_tgs
+            FROM hot_rows b JOIN hot_rows a ON a.bond = b.bond AND a.prov = b.prov AND a."date" = b."date"
+            WHERE b.side = 0 AND a.side = 1 GROUP BY b.bond, b."date\"""",
+        "csv_rejects": """SELECT l_partkey AS bond, CAST(count(*) AS BIGINT) AS bad_rows FROM lineitem
+            WHERE l_orderkey % 61 = 0 GROUP BY l_partkey""",
         "median_of_medians": "SELECT * FROM ex_med",
         "median_via_sql": "SELECT * FROM ex_med",
         "quote_counts": "SELECT * FROM ex_cnt",

@@ -12,14 +12,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from bondliq.operators.clean import listing_plan, strict_bonds
 from bondliq.operators.dedupe import dedupe_by_key
 from bondliq.plans.liquidity import liquidity_table
 from bondliq.plans.metrics import exchange_metrics, otc_metrics
 from bondliq.sinks.tables import with_audit, write_full_refresh, write_replace_date
-from bondliq.sources.csv import read_bonds, read_exchange_quotes, read_otc_quotes
+from bondliq.sources.csv import CORRUPT, read_bonds, read_exchange_quotes, read_otc_quotes
 from bondliq.sources.paths import DayInputs, backfill_inputs
 
 
@@ -28,15 +29,17 @@ class DayOutputs:
     tsq_metrics: str
     otc_metrics: str
     liquidity: str
+    rejects: str
 
 
 # Result table names (fixed values)
 TSQ_TABLE, OTC_TABLE, LIQUIDITY_TABLE = "tsq_metrics", "otc_metrics", "metrics_merged_with_ranks"
+REJECTS_TABLE = "rejects"
 
 
 def outputs(root: str) -> DayOutputs:
     root = root.rstrip("/")
-    return DayOutputs(f"{root}/{TSQ_TABLE}", f"{root}/{OTC_TABLE}", f"{root}/{LIQUIDITY_TABLE}")
+    return DayOutputs(f"{root}/{TSQ_TABLE}", f"{root}/{OTC_TABLE}", f"{root}/{LIQUIDITY_TABLE}", f"{root}/{REJECTS_TABLE}")
 
 
 # Table keys and the stated order that picks the kept row of a repeated key
@@ -45,29 +48,53 @@ METRICS_KEY, METRICS_ORDER = ["id"], ["isin"]
 LIQUIDITY_KEY, LIQUIDITY_ORDER = ["id", "anchor_date"], ["isin", "pos_by_baspread_rel_median"]
 
 
+def write_rejects(read: Mapping[str, DataFrame], path: str) -> int:
+    """Write the corrupt rows of the inputs (input, raw text) and return their number."""
+    rows = None
+    for name, df in read.items():
+        bad = df.where(F.col(CORRUPT).isNotNull()).select(F.lit(name).alias("input"), F.col(CORRUPT).alias("raw"))
+        rows = bad if rows is None else rows.unionByName(bad)
+    seen = Observation("corrupt rows")
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return int(seen.get["n"] or 0)
+
+
 def run_day(
     spark: SparkSession,
     inputs: DayInputs,
     weights: DataFrame | Mapping[str, float],
     out_root: str,
+    *,
+    on_corrupt: str = "raise",
     **options,
 ) -> DayOutputs:
     """Compute and write the three tables of ``inputs.anchor`` (yyyyMMdd).
 
+    Input rows with a value that does not convert, or that the CSV parser cannot
+    split, are written to the rejects table; any such row fails the run before a
+    result is written, unless ``on_corrupt`` is ``"reject"``. A value that is
+    missing in the file is an ordinary null.
+
     Each table keeps one row per key (K4), as the production tables' primary
     keys did, but under a stated order instead of arrival order.
     """
     out = outputs(out_root)
-    bonds = strict_bonds(read_bonds(spark, inputs.bonds))
+    readers = {"bonds": read_bonds, "exchange": read_exchange_quotes, "otc": read_otc_quotes}
+    read = {k: f(spark, getattr(inputs, k), keep_corrupt=True) for k, f in readers.items()}
+    bad = write_rejects(read, f"{out.rejects}/anchor={inputs.anchor}")
+    if bad and on_corrupt != "reject":
+        raise ValueError(f"{bad} input rows of {inputs.anchor} do not convert: see {out.rejects}")
+    good = {k: df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) for k, df in read.items()}
+    bonds = strict_bonds(good["bonds"])
     listing = listing_plan(bonds)  # one count of the bond list for both markets
-    tsq = exchange_metrics(read_exchange_quotes(spark, inputs.exchange), bonds, listing=listing)
-    otc = otc_metrics(read_otc_quotes(spark, inputs.otc), bonds, listing=listing)
+    tsq = exchange_metrics(good["exchange"], bonds, listing=listing)
+    otc = otc_metrics(good["otc"], bonds, listing=listing)
     for frame, path in ((tsq, out.tsq_metrics), (otc, out.otc_metrics)):
         write_full_refresh(with_audit(dedupe_by_key(frame, METRICS_KEY, METRICS_ORDER)), path, keep=("upsert_time",))
     tsq = spark.read.parquet(out.tsq_metrics)
     otc = spark.read.parquet(out.otc_metrics)
     table = liquidity_table(tsq, otc, bonds, weights, inputs.anchor, **options)
-    write_replace_date(with_audit(dedupe_by_key(table, LIQUIDITY_KEY, LIQUIDITY_ORDER)), out.liquidity)
+    write_replace_date(with_audit(dedupe_by_key(table, LIQUIDITY_KEY, LIQUIDITY_ORDER)), out.liquidity, date=inputs.anchor)
     return out
 
 

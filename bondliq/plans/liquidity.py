@@ -11,7 +11,7 @@ from bondliq import schemas
 from bondliq.functions.index import MIN_QUOTED_DAYS, index_from_columns, qdays_rank, ratio
 from bondliq.operators.enforce import enforce
 from bondliq.operators.merge import coverage_merge, global_aggs, merge_metrics, with_global_aggs
-from bondliq.operators.position import global_position, window_position
+from bondliq.operators.position import global_position
 from bondliq.operators.weights import weights_dict
 from bondliq.session import materialize
 
@@ -42,11 +42,14 @@ def merged_metrics(
     return with_global_aggs(merged, global_aggs(merged))
 
 
-def ranked(merged: DataFrame, positions: str = "distributed") -> DataFrame:
+def ranked(merged: DataFrame) -> DataFrame:
     """W1, W2, X6, X7 on the merged table."""
-    pos = global_position if positions == "distributed" else window_position
-    m = pos(merged, spread_order(), "pos_by_baspread_rel_median")
-    m = pos(m, volume_order(), "pos_by_usd_volume")
+    m = global_position(merged, spread_order(), "pos_by_baspread_rel_median")
+    return with_ranks(global_position(m, volume_order(), "pos_by_usd_volume"))
+
+
+def with_ranks(m: DataFrame) -> DataFrame:
+    """X6, X7 on the merged table with its positions."""
     return m.select(
         "*",
         ratio("pos_by_baspread_rel_median", "total_bonds").alias("baspread_rel_rank"),
@@ -64,7 +67,6 @@ def liquidity_table(
     anchor: str,
     *,
     zero_policy: str = "product",
-    positions: str = "distributed",
     index_digits: int | None = None,
 ) -> DataFrame:
     """The 33-column result for one anchor date (``yyyyMMdd`` or ``yyyy-MM-dd``).
@@ -73,7 +75,11 @@ def liquidity_table(
     libraries can differ in the last bit; a cross-engine comparison rounds).
     """
     w = weights_dict(weights)
-    m = ranked(merged_metrics(tsq, otc, bonds, anchor), positions)
+    return indexed(ranked(merged_metrics(tsq, otc, bonds, anchor)), w, zero_policy, index_digits)
+
+
+def indexed(m: DataFrame, w: Mapping[str, float], zero_policy: str = "product", index_digits: int | None = None) -> DataFrame:
+    """The index and the fixed columns on the ranked table."""
     m = m.select("*", *[F.lit(v).alias(k) for k, v in w.items()])
     index = index_from_columns(w, zero_policy)
     if index_digits is not None:

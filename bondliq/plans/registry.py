@@ -23,7 +23,8 @@ from bondliq.operators.enforce import split_rejects
 from bondliq.operators.merge import coverage_merge, global_aggs, merge_metrics
 from bondliq.plans import liquidity as liq
 from bondliq.plans import metrics as met
-from bondliq.session import staging_path
+from bondliq.operators.position import global_position
+from bondliq.session import materialize, staging_path
 from bondliq.sinks import tables as sinks
 from bondliq.sources import csv as csvsrc
 from bondliq.sources import fixtures as fx
@@ -33,6 +34,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SECOND_ANCHOR = "2001-10-31"
 
+# pairs that the hot query may list at once, so that it takes the bracket path at any size
+HOT_PAIR_CAP = 10_000
+
 # The index is compared with the DuckDB text rounded to this many places:
 # pow() of the JVM and of C math libraries can differ in the last bit.
 INDEX_DIGITS = 9
@@ -86,18 +90,11 @@ def _median_via_sql(i: Inputs) -> DataFrame:
     """The two median levels as SQL text over temporary views."""
     spark = i.spark
     tag = uuid.uuid4().hex[:10]
-    met.spreads(i.exchange()).createOrReplaceTempView(f"spreads_{tag}")
-    # the lower median in SQL text: the row at rank ceil(n/2) of each group
-    # (the window plan of operators.median; nulls last and not counted)
-    lower = """SELECT {keys}, {v} AS {out} FROM (
-      SELECT {keys}, {v},
-        row_number() OVER (PARTITION BY {keys} ORDER BY {v} ASC NULLS LAST) AS rn,
-        count({v}) OVER (PARTITION BY {keys}) AS n
-      FROM {src}) WHERE rn = greatest(floor((n + 1) / 2), 1)"""
-    spark.sql(lower.format(keys="bond, `date`", v="ba_spread", out="median_of_tgs", src=f"spreads_{tag}")) \
-        .createOrReplaceTempView(f"days_{tag}")
-    return spark.sql(lower.format(keys="bond", v="median_of_tgs", out="bid_ask_spread_relative_median",
-                                  src=f"days_{tag}"))
+    i.exchange().createOrReplaceTempView(f"quotes_{tag}")
+    s = spark.sql(f"""SELECT bond, `date`, try_divide(ask - bid, (ask + bid) / 2) AS ba_spread FROM quotes_{tag}""")
+    # the medians of a view go through the operator that splits hot groups
+    met.day_medians(s).createOrReplaceTempView(f"days_{tag}")
+    return met.median_of_medians(spark.sql(f"SELECT bond, median_of_tgs FROM days_{tag}"))
 
 
 def _otc_sides(i: Inputs) -> DataFrame:
@@ -124,7 +121,7 @@ def _staged_csv(i: Inputs, raw: DataFrame, file_attr: str, reader, date_is_ts: b
 def _sink_full_refresh(i: Inputs) -> DataFrame:
     """K1: write the metrics twice (the second run replaces the first)."""
     path = staging_path(i.spark, "tsq_metrics")
-    m = i.tsq_metrics()
+    m = materialize(i.tsq_metrics())
     sinks.write_full_refresh(m, path)
     sinks.write_full_refresh(m, path)
     return i.spark.read.parquet(path)
@@ -140,9 +137,10 @@ def _sink_parquet_csv(i: Inputs) -> DataFrame:
 def _sink_replace_date(i: Inputs) -> DataFrame:
     """K2: write date A, date B, then date A again: A is replaced, B kept."""
     path = staging_path(i.spark, "liquidity")
-    sinks.write_replace_date(i.liquidity(fx.ANCHOR_DATE), path)
-    sinks.write_replace_date(i.liquidity(SECOND_ANCHOR), path)
-    sinks.write_replace_date(i.liquidity(fx.ANCHOR_DATE), path)
+    tsq, otc = materialize(i.tsq_metrics()), materialize(i.otc_metrics())  # once for all dates
+    for anchor in (fx.ANCHOR_DATE, SECOND_ANCHOR, fx.ANCHOR_DATE):
+        table = liq.liquidity_table(tsq, otc, i.bonds(), fx.WEIGHTS, anchor, index_digits=INDEX_DIGITS)
+        sinks.write_replace_date(table, path, date=anchor)
     return sinks.read_dated(i.spark, path)
 
 
@@ -177,6 +175,38 @@ def _otc_day_medians(i: Inputs) -> DataFrame:
     return pair_spread_medians(bids, asks, "median_of_tgs")
 
 
+def _otc_hot(i: Inputs) -> DataFrame:
+    """J2 + A1 on one hot day that holds every line item: the bracket path."""
+    from bondliq.operators.pair_median import pair_spread_medians
+
+    rows = fx.hot_rows(i.spark, i.sf)
+    keys = ["bond", "prov", "date"]
+    return pair_spread_medians(rows.where("side = 0").select(*keys, "bid"), rows.where("side = 1").select(*keys, "ask"),
+                               "median_of_tgs", pair_cap=HOT_PAIR_CAP)
+
+
+def _exchange_hot(i: Inputs) -> DataFrame:
+    """A1 on one hot day that holds every line item: the range split."""
+    return met.day_medians(met.spreads(fx.hot_rows(i.spark, i.sf)), method="split")
+
+
+def _csv_rejects(i: Inputs) -> DataFrame:
+    """A staged archive with planted prices that do not convert; the reader hands
+    back each such row, counted here per bond."""
+    raw = fx.table(i.spark, i.sf, "lineitem").select(
+        F.col("l_partkey").alias("bond"), (300 + F.col("l_suppkey")).alias("tg"), F.col("l_shipdate").cast("date").alias("date"),
+        F.when(F.col("l_orderkey") % 61 == 0, F.lit("9x9")).otherwise(F.col("l_extendedprice").cast("string")).alias("bid"),
+        F.col("l_extendedprice").alias("ask"))
+    path = day_inputs(staging_path(i.spark, "archive"), fx.ANCHOR_DATE.replace("-", "")).exchange
+    raw.write.mode("overwrite").option("header", "true").csv(path)
+    rows = csvsrc.read_exchange_quotes(i.spark, path, keep_corrupt=True)
+    return rows.where(F.col(csvsrc.CORRUPT).isNotNull()).groupBy("bond").agg(F.count("*").alias("bad_rows"))
+
+
+def _one_position(i: Inputs, order, alias: str) -> DataFrame:
+    return global_position(i.merged(), order, alias)
+
+
 def _dense_day_medians(i: Inputs) -> DataFrame:
     q = fx.exchange_quotes_dense(i.spark, i.sf)
     return met.day_medians(met.spreads(q))
@@ -209,6 +239,7 @@ REGISTRY: dict[str, Query] = {
     "scan_exchange_csv": _q(lambda i: _staged_csv(
         i, fx.exchange_quotes_raw(i.spark, i.sf), "exchange", csvsrc.read_exchange_quotes, True)),
     "scan_otc_csv": _q(lambda i: _staged_csv(i, fx.otc_quotes_raw(i.spark, i.sf), "otc", csvsrc.read_otc_quotes, True)),
+    "csv_rejects": _q(_csv_rejects),
     "median_via_sql": _q(_median_via_sql),
     # dates
     # events.ts is a wall-clock time without zone, in UTC
@@ -234,13 +265,17 @@ REGISTRY: dict[str, Query] = {
     "median_by_bond_date": _q(lambda i: met.day_medians(met.spreads(i.exchange()))),
     "median_by_bond_date_dense": _q(_dense_day_medians),
     "median_by_bond_date_otc": _q(_otc_day_medians),
+    "median_by_bond_date_hot": _q(_exchange_hot),
+    "median_by_bond_date_otc_hot": _q(_otc_hot),
     "median_of_medians": _q(lambda i: met.median_of_medians(met.day_medians(met.spreads(i.exchange())))),
     "quote_counts": _q(lambda i: quote_counts(met.spreads(i.exchange()))),
     "global_aggs": _q(lambda i: global_aggs(merge_metrics(
         coverage_merge(i.bonds(), i.tsq_metrics(), i.otc_metrics()), fx.ANCHOR_DATE))),
     # window / ranking
-    "pos_by_spread": _q(lambda i: i.ranked().select("id", "baspread_rel_median", "pos_by_baspread_rel_median")),
-    "pos_by_usd_volume": _q(lambda i: i.ranked().select("id", "usd_volume", "pos_by_usd_volume")),
+    "pos_by_spread": _q(lambda i: _one_position(i, liq.spread_order(), "pos_by_baspread_rel_median").select(
+        "id", "baspread_rel_median", "pos_by_baspread_rel_median")),
+    "pos_by_usd_volume": _q(lambda i: _one_position(i, liq.volume_order(), "pos_by_usd_volume").select(
+        "id", "usd_volume", "pos_by_usd_volume")),
     # scalar expressions
     "merge_metrics": _q(lambda i: merge_metrics(
         coverage_merge(i.bonds(), i.tsq_metrics(), i.otc_metrics()), fx.ANCHOR_DATE).select(

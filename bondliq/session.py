@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,8 +49,9 @@ def local_session(
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it. Only when it
-    is unset (local tests) a fresh folder is created and registered.
+    Read from ``spark.checkpoint.dir`` as the cluster names it. Only a local
+    session without it (tests) gets a fresh folder; any other master must name
+    a folder that all executors share.
     """
     try:
         sc = spark.sparkContext
@@ -57,6 +59,9 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = sc.master if sc else "connect"
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         current = tempfile.mkdtemp(prefix="bondliq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():

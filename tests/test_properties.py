@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from bondliq.operators.median import median_aggregate, median_split, median_window
 from bondliq.operators.pair_median import pair_spread_medians
-from bondliq.operators.position import global_position, window_position
+from bondliq.operators.position import global_position
+from tests.single_partition import window_position
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
