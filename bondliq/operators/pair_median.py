@@ -281,9 +281,10 @@ def pair_spread_medians(
     """(bond, date, ``alias``) over all bid x ask pairs of each day.
 
     ``bids``: (bond, prov, date, bid), ``asks``: (bond, prov, date, ask),
-    prices > 0 (OTC cleaning guarantees it). One small job sizes the days.
+    prices > 0 (OTC cleaning guarantees it). The side values are kept, so each side is
+    read once whatever the number of rounds; one small job sizes the days.
     """
-    bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
+    bids_v, asks_v = materialize(side_values(bids, "bid")), materialize(side_values(asks, "ask"))
     _, groups = pair_stats(bids_v, asks_v)
     row = groups.agg(F.max("d").alias("d"), F.max("n").alias("n")).first()
     return day_medians_from_values(bids_v, asks_v, groups, row["d"] or 0, alias,

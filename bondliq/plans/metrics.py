@@ -166,7 +166,9 @@ def paired_quote_metrics(
     medians come from ``pair_median`` and the bond medians from the usual
     lower median over days.
     """
-    bids_v, asks_v = side_values(bids, "bid"), side_values(asks, "ask")
+    # the raw rows are read once per side: the profile, the medians and every bracket
+    # round read the kept side values
+    bids_v, asks_v = materialize(side_values(bids, "bid")), materialize(side_values(asks, "ask"))
     keys, groups = pair_stats(bids_v, asks_v)
     profile, b = kept_profile(pair_profile(keys, groups), d="max_day_pairs", n="max_day_weighted_pairs",
                               days="qdays_cnt")
