@@ -14,6 +14,10 @@ from bondliq.session import shared_dir
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Spark's setting that shuffle files go at the end of the job that made them
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def let_workers_import(spark: SparkSession) -> None:
     """Python workers find this package where the driver has it. On a cluster whose
     executors have no such path, ship the package with ``--py-files``."""
@@ -38,7 +42,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     survives lost executors and fixes what later readers see."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    try:  # what has been written needs its shuffle files no more
+        spark.conf.set(DROP_SHUFFLES, "true")
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before) if before is not None else spark.conf.unset(DROP_SHUFFLES)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
