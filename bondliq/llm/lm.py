@@ -2,7 +2,8 @@
 
 Counts. Words and the end of a text are tokens. Three passes count 1-, 2- and 3-grams of
 the training texts; a task adds up what it has seen, Spark adds up the tasks. An n-gram
-is kept if it occurs ``MIN_COUNT`` times, and is only counted if its parts were kept.
+is kept if it occurs ``min_count`` times, and is only counted if its parts were kept;
+with (1, 1, 1), as the query has it, every n-gram of the training texts is kept.
 
 Levels. Level 1 holds word hashes in order; a word's id is its place. Level 2 holds the
 pairs (a, b) in order as one rising sequence, and level 3 the triples. A triple's last
@@ -36,12 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bondliq.llm.common import fold, fresh_path, local_path, written
+from bondliq.llm.common import fold, fresh_path, let_go, local_path, written
 from bondliq.llm.elias_fano import EliasFano
 from bondliq.llm.token_files import _store
 from bondliq.llm.tokens import Memo
 
-MIN_COUNT = (1, 2, 3)
+#: floors of callers that want a pruned model, and of those that want all n-grams
+MIN_COUNT, EVERY = (1, 2, 3), (1, 1, 1)
 DISCOUNT, SMOOTH = 0.75, 0.1
 END = np.uint64(xxhash.xxh64_intdigest(b"", seed=1))
 #: tokens worked on at once, and the quantised range of log10
@@ -249,7 +251,7 @@ def _previous(x: np.ndarray, fill=-1) -> np.ndarray:
     return np.concatenate([[fill], x[:-1]]) if len(x) else x
 
 
-def train(docs: DataFrame, parts: int | None = None) -> Model:
+def train(docs: DataFrame, parts: int | None = None, min_count: tuple[int, int, int] = MIN_COUNT) -> Model:
     """Train on ``docs`` (text)."""
     spark = docs.sparkSession
     folder = fresh_path(spark, "lm")
@@ -270,6 +272,7 @@ def train(docs: DataFrame, parts: int | None = None) -> Model:
 
     ranges = Ranges(in_parts(words, ["k"], parts, write_words))
     total = words.agg(F.sum("n").alias("n")).first()["n"] or 0
+    let_go(spark, words)
     model = Model(Words(folder, "words", ranges), total)
     if not total:
         return model
@@ -278,12 +281,12 @@ def train(docs: DataFrame, parts: int | None = None) -> Model:
     def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, keys, row in blocks(batches):
             ids, counts, follows = _places(model, keys, row)
-            ok = follows & (counts >= MIN_COUNT[1]) & (_previous(counts) >= MIN_COUNT[1])
+            ok = follows & (counts >= min_count[1]) & (_previous(counts) >= min_count[1])
             pair, n = np.unique((_previous(ids)[ok] << ID_BITS) | ids[ok], return_counts=True)
             yield pd.DataFrame({"k": pair, "n": n})
 
     pairs = docs.select("text").mapInPandas(count_pairs, "k long, n long").groupBy("k").agg(
-        F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT[1])
+        F.sum("n").alias("n")).where(F.col("n") >= min_count[1])
     pairs = written(pairs, "pairs")
     # of each first word: its successors, and the mass that they leave
     firsts = pairs.groupBy(F.shiftright("k", ID_BITS).alias("a")).agg(
@@ -331,6 +334,7 @@ def train(docs: DataFrame, parts: int | None = None) -> Model:
         return k[0], k[-1], len(k)
 
     two = Ranges(in_parts(pairs, ["k"], parts, write_pairs))
+    let_go(spark, pairs)
     model.pairs = Level(folder, "pairs", two)
     model.triples = Level(folder, "triples", Ranges([]))
     if not two.n:
@@ -343,14 +347,14 @@ def train(docs: DataFrame, parts: int | None = None) -> Model:
         for _, keys, row in blocks(batches):
             ids, _, follows = _places(model, keys, row)
             place = model.pair_places(np.where(follows, _previous(ids), -1), ids)
-            often = model.pairs.values(place, "counts", 0, np.int64) >= MIN_COUNT[2]
+            often = model.pairs.values(place, "counts", 0, np.int64) >= min_count[2]
             ok = often & np.concatenate([[False], often[:-1]]) & follows
             i, a = _previous(place)[ok], _previous(ids)[ok]
             k, n = np.unique((i << model.rel_bits) | model.relative(a, place[ok]), return_counts=True)
             yield pd.DataFrame({"k": k, "n": n})
 
     triples = docs.select("text").mapInPandas(count_triples, "k long, n long").groupBy("k").agg(
-        F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT[2])
+        F.sum("n").alias("n")).where(F.col("n") >= min_count[2])
     triples = written(triples, "triples")
     contexts = triples.groupBy(F.shiftright("k", model.rel_bits).alias("i")).agg(F.sum(F.col("n") - DISCOUNT).cast("double").alias("kept"))
     starts2 = two.base[:-1].tolist()
@@ -385,6 +389,7 @@ def train(docs: DataFrame, parts: int | None = None) -> Model:
         return k[0], k[-1], len(k)
 
     model.triples = Level(folder, "triples", Ranges(in_parts(triples, ["k"], parts, write_triples)))
+    let_go(spark, triples)
     return model
 
 
@@ -412,12 +417,12 @@ def token_scores(model: Model, keys: np.ndarray, row: np.ndarray) -> tuple[np.nd
     return counts, base, score
 
 
-def score(docs: DataFrame, modulus: int = 10) -> DataFrame:
+def score(docs: DataFrame, modulus: int = 10, min_count: tuple[int, int, int] = MIN_COUNT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score; learned from the rows whose id's crc32 is not
     divisible by ``modulus``."""
     rest = fold("doc_id", modulus)
-    model = train(docs.where(rest != 0))
+    model = train(docs.where(rest != 0), min_count=min_count)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # file names and part bounds
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

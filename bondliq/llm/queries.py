@@ -49,7 +49,7 @@ def op9_mih(spark, sf):
 
 
 def op10_lm(spark, sf):
-    return lm.score(table(spark, sf, "documents"))
+    return lm.score(table(spark, sf, "documents"), min_count=lm.EVERY)
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op8_jaccard, op9_mih, op10_lm)}
