@@ -6,10 +6,11 @@ which the model knows any n-gram scores the word by their mean log frequencies.
 text's language has the highest mean score over all its words; its score is that
 language's share after a softmax of the means.
 
-Training reads a bounded sample of rows: at most about ``train_rows`` documents, chosen
-by a hash of the id, whole texts. The model keeps the ``max_words`` most frequent words
-and the ``max_grams`` most frequent n-grams of each length, so its size does not grow
-with the corpus, and is broadcast.
+Training reads a bounded sample of rows, whole texts, chosen by a hash of id and text:
+about ``train_rows`` documents, shared out evenly among the languages. A language with
+fewer rows than its share gives all of them and leaves the rest to the others; no share
+is below ``least`` rows. The model keeps every word and n-gram of the sample, so its size
+follows the sample, not the corpus, and is broadcast; words are held as 64-bit hashes.
 
 Defined results: text that is null or has no letter is ``und`` with score 0, as is
 every text if nothing was learned; ties go to the first language in order; repeated
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,24 +48,41 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
+def hashed(word: str) -> int:
+    """Spark's xxhash64 of a word, as an unsigned number."""
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=42)
+
+
 class Model:
-    def __init__(self, langs: list[str], words: dict, by_length: list[dict], totals: np.ndarray):
-        """``words`` and ``by_length[n]``: key -> counts per language; ``totals``: rows
-        of counts per language for words (0) and n-grams (1..LONGEST)."""
+    def __init__(self, langs: list[str], words: tuple[np.ndarray, np.ndarray], by_length: list[dict], totals: np.ndarray):
+        """``words``: rising hashes, and a row of counts per language for each;
+        ``by_length[n]``: n-gram -> counts per language; ``totals``: rows of counts per
+        language for words (0) and n-grams (1..LONGEST)."""
         self.langs = langs
-        self.tables = [self._logs(t, totals[n]) for n, t in enumerate([words, *by_length[1:]])]
+        self.hashes, counts = words
+        self.words = self._logs(counts, totals[0])
+        self.tables = [{}] + [dict(zip(t, map(tuple, self._logs(np.array(list(t.values())).reshape(len(t), len(langs)), totals[n]).tolist())))
+                              for n, t in enumerate(by_length[1:], 1)]
         self.memo = Memo(self._word, 200_000)
         self.unknown = (0.0,) * len(langs)
 
     @staticmethod
-    def _logs(counts: dict, total: np.ndarray) -> dict:
-        floor = total + 0.5 * (len(counts) + 1)
-        return {k: tuple(np.log((v + 0.5) / floor).tolist()) for k, v in counts.items()}
+    def _logs(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Half an occurrence is added to the largest language's counts, and as large a
+        frequency to those of the others, so a small one gains nothing by unseen keys."""
+        least = 0.5 / max(total.max(initial=0), 1)
+        return np.log((counts / np.maximum(total, 1) + least) / (1 + least * (len(counts) + 1)))
+
+    def known(self, word: str) -> int:
+        """The word's row, or -1."""
+        h = np.uint64(hashed(word))
+        at = int(self.hashes.searchsorted(h))
+        return at if at < len(self.hashes) and self.hashes[at] == h else -1
 
     def _word(self, word: str) -> tuple:
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
+        at = self.known(word)
+        if at >= 0:
+            return tuple(self.words[at].tolist())
         for n in range(LONGEST, 0, -1):
             found = [x for g in grams(word, n) if (x := self.tables[n].get(g)) is not None]
             if found:
@@ -82,12 +101,26 @@ class Model:
         return self.langs[best], float(share[best] / share.sum())
 
 
-def fit(docs: DataFrame, train_rows: int = 5_000, max_words: int = 60_000, max_grams: int = 30_000) -> Model:
+def shares(rows: dict[str, int], train_rows: int, least: int) -> dict[str, float]:
+    """The share of each language's rows that goes into the sample: smallest languages
+    first, each at most an equal part of what is left, and no part below ``least``."""
+    out, left = {}, train_rows
+    for i, (lang, n) in enumerate(sorted(rows.items(), key=lambda x: (x[1], x[0]))):
+        take = min(n, max(left // (len(rows) - i), least))
+        out[lang] = take / n
+        left = max(left - take, 0)
+    return out
+
+
+def fit(docs: DataFrame, train_rows: int = 20_000, least: int = 200) -> Model:
     """Fit on ``docs`` (doc_id, text, lang) with non-null lang."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = rows.count()
-    share = min(1.0, train_rows / max(n, 1))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
+    sample = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    by_lang = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}  # a row per language
+    scale = 1 << 53
+    below = [(lang, int(x * scale)) for lang, x in shares(by_lang, train_rows, least).items() if x < 1]
+    if below:
+        limit = F.create_map(*[F.lit(x) for pair in below for x in pair])[F.col("lang")]
+        sample = sample.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale)) < F.coalesce(limit, F.lit(scale)))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:  # a map-side combine
@@ -112,24 +145,28 @@ def fit(docs: DataFrame, train_rows: int = 5_000, max_words: int = 60_000, max_g
     # each distinct word is cut into n-grams once
     spread = written(words.unionByName(words.mapInPandas(cut, schema)).groupBy("size", "key", "lang").agg(F.sum("n").alias("n")), "grams")
     totals = spread.groupBy("size", "lang").agg(F.sum("n").alias("n"))
-    keys = spread.groupBy("size", "key").agg(F.sum("n").alias("total"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "n"))).alias("by_lang"))  # a row per language
-    tops = [keys.where(F.col("size") == s).orderBy(F.desc("total"), "key").limit(max_grams if s else max_words)
-            for s in range(LONGEST + 1)]
     all_totals = totals.collect()
     langs = sorted({r["lang"] for r in all_totals})
     place = {x: i for i, x in enumerate(langs)}
     sums = np.zeros((LONGEST + 1, len(langs)))
     for r in all_totals:
         sums[r["size"], place[r["lang"]]] = r["n"]
+
+    def entries(size: int, key) -> tuple[list, np.ndarray, np.ndarray]:
+        """Key, language and count of all entries of a size: as many as the sample holds."""
+        got = spread.where(F.col("size") == size).select(key.alias("key"), "lang", "n").toArrow()
+        return got["key"], np.array([place[x] for x in got["lang"].to_pylist()], dtype=np.int64), got["n"].to_numpy()
+
+    keys, lang, n = entries(0, F.xxhash64("key"))
+    hashes, row = np.unique(keys.to_numpy().astype(np.int64).view(np.uint64), return_inverse=True)
+    counts = np.zeros((len(hashes), len(langs)))
+    np.add.at(counts, (row, lang), n)
     tables: list[dict] = [{} for _ in range(LONGEST + 1)]
-    for size, top in enumerate(tops):
-        for r in top.collect():
-            v = np.zeros(len(langs))
-            for lang, k in r["by_lang"].items():
-                v[place[lang]] = k
-            tables[size][r["key"]] = v
-    return Model(langs, tables[0], tables, sums)
+    for size in range(1, LONGEST + 1):
+        keys, lang, n = entries(size, F.col("key"))
+        for g, x, k in zip(keys.to_pylist(), lang.tolist(), n.tolist()):
+            tables[size].setdefault(g, [0] * len(langs))[x] += k
+    return Model(langs, (hashes, counts), tables, sums)
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from bondliq.llm import lm
+from bondliq.llm import langid, lm
 from bondliq.llm.queries import QUERIES
 from tests.llm.test_learned import crc
 
@@ -36,3 +36,30 @@ def test_lm_query_keeps_ngrams_seen_once(spark, sf):
     got = sorted((r["doc_id"], r["n_tokens"], r["score"]) for r in QUERIES["op10_lm"](spark, sf).collect())
     for r, w in zip(got, want, strict=True):
         assert r[:2] == w[:2] and r[2] == pytest.approx(w[2], abs=3e-4 * w[1])
+
+
+def test_language_sample_keeps_rare_languages_and_all_words(spark, docs_of):
+    def word(i, letters):
+        out = ""
+        for _ in range(5):
+            i, k = divmod(i, 10)
+            out += letters[k]
+        return out
+
+    # 4,000 rows of a hot language with 70,000 words, each seen more often than a rare one's
+    hot = [(i, " ".join(word((20 * i + k) % 70_000, "abcdefghij") for k in range(40)), "hot") for i in range(4000)]
+    rare = [(9000 + i, " ".join(word(40 * i + k, "jihgfedcba") + "j" for k in range(40)), "rare") for i in range(3)]
+    model = langid.fit(docs_of(hot + rare), train_rows=1000)
+    assert model.langs == ["hot", "rare"]
+    assert all(model.known(w) >= 0 for _, text, _ in rare for w in text.split())
+    assert all(model.classify(text)[0] == "rare" for _, text, _ in rare)
+    assert all(model.classify(text)[0] == "hot" for _, text, _ in hot[:50])
+    assert 800 * 20 < len(model.hashes) <= 1200 * 40 + 120
+    every = langid.fit(docs_of(hot + rare))
+    assert all(every.known(w) >= 0 for _, text, _ in hot + rare for w in text.split())
+
+
+def test_language_shares():
+    shares = langid.shares({"a": 10**9, "b": 10**9, "c": 3}, 20_000, 200)
+    assert shares["c"] == 1 and shares["a"] * 10**9 == pytest.approx(9998, abs=2) == shares["b"] * 10**9
+    assert langid.shares({str(i): 1000 for i in range(500)}, 20_000, 200)["7"] == 0.2
