@@ -1,9 +1,11 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction.
 
 Base: four kinds are found by regular expressions and checks (e-mail, IP address, card
-number, phone number). They are the seeds. Every identifier-like word (one with a digit
-or an at sign) is a slot with a context: the words left and right of it. Contexts of
-seeds are the patterns; a pattern of a kind links all slots that stand in its context.
+number, phone number). They are the seeds, each a whole match. A candidate is a
+longest run of identifier-like words (with a digit or an at sign) that touch no base span
+and are joined by single spaces. Both are slots with a context: the words left and right
+of the words that they touch. Contexts of seeds are the patterns; a pattern of a kind
+links all slots that stand in its context.
 
 Scores run over this graph for a few rounds: a pattern's score is the mean score of its
 slots, damped by the number of different seeds behind it; a slot's score is the highest
@@ -57,7 +59,8 @@ def keyed(df: DataFrame, text: str = "text") -> DataFrame:
 
 def matches(text: Column, kind: str, pattern: str) -> Column:
     """All leftmost non-overlapping matches in order: kind, place in that order, length
-    of the text since the match before (lead), own length, value, words around it."""
+    of the text since the match before (lead), own length, value, words around it, and
+    whether a single space is all that lies between it and the match before."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     columns = [found.alias("m"), pieces.alias("before")]
@@ -73,7 +76,8 @@ def matches(text: Column, kind: str, pattern: str) -> Column:
             left = F.coalesce(F.nullif(F.regexp_extract(x["before"], LAST_WORD, 1), F.lit("")), x["previous"], F.lit(""))
             right = F.coalesce(F.nullif(F.regexp_extract(x["after"], FIRST_WORD, 1), F.lit("")), x["following"], F.lit(""))
         return F.struct(F.lit(kind).alias("kind"), i.alias("place"), F.length(x["before"]).alias("lead"),
-                        F.length(x["m"]).alias("size"), x["m"].alias("value"), F.lower(left).alias("left"), F.lower(right).alias("right"))
+                        F.length(x["m"]).alias("size"), x["m"].alias("value"), F.lower(left).alias("left"), F.lower(right).alias("right"),
+                        (x["before"] == " ").alias("joined"))
 
     return F.filter(F.transform(F.arrays_zip(*columns), one), lambda x: x["value"].isNotNull())
 
@@ -102,9 +106,8 @@ def valid(kind: str, value: Column) -> Column:
 
 
 def located(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Base spans and slots of all distinct texts: the key, kind (``slot`` for slots),
-    start, stop, value, left, right, and for slots ``seed``, the kind of a base span
-    that they touch."""
+    """Base spans and candidates of all distinct texts: the key, kind (``slot`` for
+    candidates), start, stop, value, left, right."""
     some = keyed(docs.where(F.col(text).rlike(ANY)).select(F.col(text).alias("_text")), "_text")
     none = matches(F.lit(""), "none", "x")
     kinds = [F.when(F.col("_text").rlike(NEEDS[k]), matches(F.col("_text"), k, PATTERNS[k])).otherwise(none) for k in KINDS]
@@ -116,18 +119,38 @@ def located(docs: DataFrame, text: str = "text") -> DataFrame:
     ok = F.lit(True)
     for k in KINDS:
         ok = F.when(F.col("kind") == k, valid(k, F.col("value"))).otherwise(ok)
-    # a slot touches a kind if the last base span that starts before its end ends after its start
-    along = Window.partitionBy(*KEY).orderBy(F.when(F.col("kind") == "slot", 2 * F.col("stop") - 1).otherwise(2 * F.col("start"))).rowsBetween(
-        Window.unboundedPreceding, 0)
-    touched = [F.when(F.max(F.when(F.col("kind") == k, F.col("stop"))).over(along) > F.col("start"), F.lit(k)) for k in KINDS]
-    return rows.where(ok).withColumn("seed", F.when(F.col("kind") == "slot", F.coalesce(*touched))).select(
-        *KEY, "kind", "start", "stop", "value", "left", "right", "seed")
+    rows = rows.where(ok)
+    is_slot = F.col("kind") == "slot"
+
+    def along(slots: Column, spans: Column):
+        """All rows of a text up to this one, ordered by these positions."""
+        return Window.partitionBy(*KEY).orderBy(F.when(is_slot, slots).otherwise(spans)).rowsBetween(Window.unboundedPreceding, 0)
+
+    start, stop = F.col("start"), F.col("stop")
+    # an identifier-like word touches a span if the last span that starts before its end ends after its start
+    touched = F.max(F.when(~is_slot, stop)).over(along(2 * stop - 1, 2 * start)) > start
+    # a span's first and last characters lie in identifier-like words, whose neighbours are its context
+    left = F.last(F.when(is_slot, F.col("left")), ignorenulls=True).over(along(2 * start, 2 * start + 1))
+    right = F.last(F.when(is_slot, F.col("right")), ignorenulls=True).over(along(2 * start, 2 * stop - 1))
+    rows = rows.withColumns({"touched": F.coalesce(touched, F.lit(False)), "_left": left, "_right": right})
+    columns = [*KEY, "kind", "start", "stop", "value", "left", "right"]
+    base = rows.where(~is_slot).withColumns({"left": F.col("_left"), "right": F.col("_right")}).select(*columns)
+    # runs of words that touch no span
+    by_place = Window.partitionBy(*KEY).orderBy("place")
+    follows = F.col("joined") & ~F.lag("touched", 1, True).over(by_place)
+    runs = rows.where(is_slot).withColumn("begins", F.when(follows, 0).otherwise(1))
+    runs = runs.withColumn("run", F.sum("begins").over(by_place.rowsBetween(Window.unboundedPreceding, 0))).where("not touched")
+    words = F.array_sort(F.collect_list(F.struct("place", "value")))
+    runs = runs.groupBy(*KEY, "run").agg(
+        F.lit("slot").alias("kind"), F.min("start").alias("start"), F.max("stop").alias("stop"), F.array_join(words["value"], " ").alias("value"),
+        F.min_by("left", "place").alias("left"), F.max_by("right", "place").alias("right"))
+    return base.unionByName(runs.select(*columns))
 
 
 def bootstrap(spans: DataFrame, rounds: int = 3, min_seeds: int = 5, accept: float = 0.8) -> DataFrame:
     """Spans that the base lacks: the key, kind, start, stop. Iterates on written tables."""
-    rows = spans.where("kind = 'slot'").select(*KEY, "start", "stop", "left", "right", F.col("seed").alias("kind"),
-                                               F.xxhash64("value").alias("slot"))
+    rows = spans.select(*KEY, "start", "stop", "left", "right", F.when(F.col("kind") != "slot", F.col("kind")).alias("kind"),
+                        F.xxhash64("value").alias("slot"))
     near = rows.select("slot", "kind", F.explode(F.array(
         F.struct(F.lit("L").alias("side"), F.col("left").alias("word")),
         F.struct(F.lit("R").alias("side"), F.col("right").alias("word")))).alias("c")).where("c.word <> ''")

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from bondliq.llm import langid, lm
+from bondliq.llm import langid, lm, pii
 from bondliq.llm.queries import QUERIES
 from tests.llm.test_learned import crc
 
@@ -63,3 +63,26 @@ def test_language_shares():
     shares = langid.shares({"a": 10**9, "b": 10**9, "c": 3}, 20_000, 200)
     assert shares["c"] == 1 and shares["a"] * 10**9 == pytest.approx(9998, abs=2) == shares["b"] * 10**9
     assert langid.shares({str(i): 1000 for i in range(500)}, 20_000, 200)["7"] == 0.2
+
+
+def letters(i):
+    return "".join("abcdefghij"[int(c)] for c in f"{i:04}")
+
+
+def test_pii_left_contexts_of_whole_phones_and_spaced_identifiers(spark):
+    # every phone has its own word on the right, so only the left context can teach
+    seeds = [(i, f"words before phone: +1 (499) 555-{1000 + i} {letters(i)} and words after") for i in range(40)]
+    unseen = [(100 + i, f"some text phone: (499) 555-650{i} {letters(500 + i)} more") for i in range(3)]
+    grouped = [(200, "some text phone: 12 34 56 78 end"), (201, "some text phone: 12 34\n56 end"), (202, "phone: 77 +1 (499) 555-2000 88 end")]
+    plain = [(300 + i, f"there are {i} apples in box{i} today") for i in range(30)]
+    texts = dict(seeds + unseen + grouped + plain)
+    rows = {r["doc_id"]: r["spans"] for r in pii.report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+
+    def cut(d):
+        return [(k, texts[d][int(a):int(b)]) for k, a, b in (x.split(":") for x in rows[d].split(",") if x)]
+
+    assert all(cut(i) == [("phone", f"+1 (499) 555-{1000 + i}")] for i in range(40))
+    assert all(cut(100 + i) == [("phone", f"(499) 555-650{i}")] for i in range(3))
+    assert cut(200) == [("phone", "12 34 56 78")] and cut(201) == [("phone", "12 34")]
+    assert cut(202) == [("phone", "77"), ("phone", "+1 (499) 555-2000 88")]
+    assert all(cut(300 + i) == [] for i in range(30))
