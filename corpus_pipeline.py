@@ -6,8 +6,10 @@ columns of ``documents``, including any that the caller has added.
 
 quality   drops documents that the quality classifier scores below 0.3
 language  drops documents without a recognised language (no letters, or no clear lead)
-near_dup  keeps the smallest doc_id of each group of near-duplicates (five-word
-          shingles, Jaccard similarity 0.8 or more); rows without doc_id stay
+near_dup  keeps one row of each group of near-duplicate texts (five-word shingles,
+          Jaccard similarity 0.8 or more), that of the smallest doc_id; a row without
+          doc_id is kept if no row of its group has one; texts without words link with
+          nothing
 pii       replaces personal data by its kind in angle brackets and updates n_chars
 packing   packs the texts into sequences of at most 4096 tokens
 
@@ -38,11 +40,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
-    found = jaccard.join(docs, threshold=(80, 100), width=5)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    # equal rows under one id are copies of one another
-    one = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return one.unionByName(docs.where("doc_id is null"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # a row is known by its text and id; texts are linked, not ids
+    row = {"_text_key": F.xxhash64("text"), "_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))}
+    rows = docs.where(has_words).withColumns(row)
+    texts = written(rows.select(F.col("_text_key").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "texts")
+    found = jaccard.join(texts, threshold=(80, 100), width=5)
+    first = rows.groupBy("_text_key").agg(F.min(F.struct("_no_id", "_id")).alias("row"))
+    best = first.join(found.select(F.col("doc_id").alias("_text_key"), "component_id"), "_text_key").groupBy("component_id").agg(
+        F.min(F.struct("row._no_id", "row._id", "_text_key")).alias("row")).select("row.*")
+    # equal rows under one id, or without one, are copies of one another
+    one = rows.dropDuplicates(list(row)).join(best, list(row), "left_semi").select(*columns)
+    blank = docs.where(~has_words)
+    return one.unionByName(blank.where("doc_id is not null").dropDuplicates(["doc_id", "text"])).unionByName(blank.where("doc_id is null"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

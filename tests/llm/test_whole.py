@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from bondliq.llm import langid, lm, pii
 from bondliq.llm.queries import QUERIES
 from tests.llm.test_learned import crc
@@ -86,3 +87,16 @@ def test_pii_left_contexts_of_whole_phones_and_spaced_identifiers(spark):
     assert cut(200) == [("phone", "12 34 56 78")] and cut(201) == [("phone", "12 34")]
     assert cut(202) == [("phone", "77"), ("phone", "+1 (499) 555-2000 88")]
     assert all(cut(300 + i) == [] for i in range(30))
+
+
+def test_near_dup_stage_with_repeated_and_null_ids(spark, sf, docs_of):
+    def text(k, last="end"):
+        return " ".join(f"w{k}x{i}" for i in range(60)) + " " + last
+
+    rows = [(1, text(1), "en"), (2, text(1, "fin"), "en"), (2, text(2), "en"),  # a near-copy and a clean text under one id
+            (3, text(3), "en"), (3, text(3, "fin"), "en"), (3, text(3, "fin"), "en"),  # near-copies under one id
+            (None, text(4), "en"), (None, text(4), "en"), (None, text(4, "fin"), "en"),  # copies without id
+            (None, text(1, "out"), "en"), (None, text(5), "en"), (None, "", "en"), (9, " ", "en"), (9, " ", "en"), (10, None, "en")]
+    out = corpus_pipeline.near_dup_stage(spark, docs_of(rows), sf)
+    got = sorted(((r["doc_id"] or 0, (r["text"] or "").split(" ")[0]) for r in out.collect()))
+    assert got == [(0, ""), (0, "w4x0"), (0, "w5x0"), (1, "w1x0"), (2, "w2x0"), (3, "w3x0"), (9, ""), (10, "")]
