@@ -7,8 +7,8 @@ import re
 import pytest
 
 import corpus_pipeline
-from bondliq.llm import langid, lm, pii
-from bondliq.llm.queries import QUERIES
+from bondliq.llm import langid, lm, packing, pii
+from bondliq.llm.queries import QUERIES, WORD_BPE
 from tests.llm.test_learned import crc
 
 
@@ -100,3 +100,20 @@ def test_near_dup_stage_with_repeated_and_null_ids(spark, sf, docs_of):
     out = corpus_pipeline.near_dup_stage(spark, docs_of(rows), sf)
     got = sorted(((r["doc_id"] or 0, (r["text"] or "").split(" ")[0]) for r in out.collect()))
     assert got == [(0, ""), (0, "w4x0"), (0, "w5x0"), (1, "w1x0"), (2, "w2x0"), (3, "w3x0"), (9, ""), (10, "")]
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_pack_under_binding_capacities(docs_of, rule):
+    docs = docs_of([(i, " ".join(["word"] * (1 + i % 12)), "en") for i in range(300)])
+    tokens, most, cost = 40, 4, 300
+    rows = packing.pack(docs, WORD_BPE, end_id=1, tokens=tokens, max_pieces=most, max_cost=float(cost), weights=(1.0, 1.0, 1.0), rule=rule).collect()
+    assert sorted((r["doc_id"], r["piece"]) for r in rows) == [(i, 0) for i in range(300)]
+    by_sequence = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: r["offset"]):
+        assert r["offset"] == sum(by_sequence[r["sequence_id"]])
+        by_sequence[r["sequence_id"]].append(r["length"])
+    sizes = [(sum(x), len(x), sum(n * n for n in x)) for x in by_sequence.values()]
+    assert all(a <= tokens and b <= most and c <= cost for a, b, c in sizes)
+    smallest = min(r["length"] for r in rows)
+    full = [(a + smallest > tokens, b == most, c + smallest ** 2 > cost) for a, b, c in sizes]
+    assert (False, True, False) in full and (False, False, True) in full  # each binds on its own
