@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from bondliq.llm import bpe, jaccard, langid, lm, mih, neardup, packing, pii, quality, token_files
+from bondliq.llm import bpe, codes, jaccard, langid, lm, mih, mixing, neardup, packing, pii, quality, spelling, token_files
 from bondliq.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,19 @@ def op10_lm(spark, sf):
     return lm.score(table(spark, sf, "documents"), min_count=lm.EVERY)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op8_jaccard, op9_mih, op10_lm)}
+def op11_spelling(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
+
+
+def op12_mixing(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+def op13_codes(spark, sf):
+    return codes.vector_codes(table(spark, sf, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op4_neardup, op5_pii, op6_langid, op7_packing, op8_jaccard, op9_mih, op10_lm,
+                                  op11_spelling, op12_mixing, op13_codes)}
 #: DuckDB SQL where SQL can express the query
-ORACLE = {}
+ORACLE = {"op11_spelling": spelling.oracle(), "op12_mixing": mixing.oracle(), "op13_codes": codes.oracle()}
