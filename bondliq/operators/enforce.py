@@ -8,6 +8,8 @@ and every non-nullable column is checked per row, either failing the job
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +19,10 @@ def _cast(df: DataFrame, field: T.StructField) -> Column:
     return F.col(field.name).try_cast(field.dataType)
 
 
-def enforce(df: DataFrame, schema: T.StructType, name: str = "frame") -> DataFrame:
-    """Cast to ``schema``; a null in a non-nullable column fails the job."""
-    cols = []
+def enforce(df: DataFrame, schema: T.StructType, name: str = "frame", also: Sequence[str] = ()) -> DataFrame:
+    """Cast to ``schema``; a null in a non-nullable column fails the job. Columns ``also``
+    are kept in front as they are."""
+    cols = [F.col(c) for c in also]
     for f in schema.fields:
         c = _cast(df, f)
         if not f.nullable:

@@ -48,22 +48,29 @@ def max_group_size(df: DataFrame, keys: Sequence[str], value: str) -> int:
     return int(row["m"] or 0)
 
 
-def median_window(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
+def median_window(df: DataFrame, keys: Sequence[str], value: str, alias: str, count: str | None = None) -> DataFrame:
     """Exact lower median by ranking inside each group (groups must be bounded).
 
     Nulls sort last and are not counted; a group without values keeps its
-    first row, whose value is null.
+    first row, whose value is null. ``count`` names a column with the number of times that a
+    row's value occurs (a histogram: each group has a value, null too, in one row).
     """
     keys = list(keys)
     v = F.col(value)
     grp = Window.partitionBy(*keys)
-    ranked = df.select(
-        *keys, v.alias("_v"),
-        F.row_number().over(grp.orderBy(v.asc_nulls_last())).alias("_rn"),
-        F.count(v).over(grp).alias("_n"),
-    )
-    target = F.greatest(F.floor((F.col("_n") + 1) / 2), F.lit(1))
-    return ranked.where(F.col("_rn") == target).select(*keys, F.col("_v").alias(alias))
+    place = F.row_number().over(grp.orderBy(v.asc_nulls_last())).alias("_rn")
+    if count is None:
+        ranked = df.select(*keys, v.alias("_v"), place, F.count(v).over(grp).alias("_n"))
+        target = F.greatest(F.floor((F.col("_n") + 1) / 2), F.lit(1))
+        return ranked.where(F.col("_rn") == target).select(*keys, F.col("_v").alias(alias))
+    weighed = df.select(*keys, v.alias("_v"), F.when(v.isNotNull(), F.col(count)).otherwise(0).cast("long").alias("_c"))
+    v = F.col("_v")
+    run = grp.orderBy(v.asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = weighed.select(*keys, "_v", "_c", F.sum("_c").over(run).alias("_cum"), F.sum("_c").over(grp).alias("_n"),
+                            F.row_number().over(grp.orderBy(v.asc_nulls_last())).alias("_rn"))
+    target = F.shiftright(F.col("_n") + 1, 1)  # long division stays exact past 2^53
+    hit = (F.col("_cum") >= target) & (F.col("_cum") - F.col("_c") < target)
+    return ranked.where(F.when(F.col("_n") == 0, F.col("_rn") == 1).otherwise(hit)).select(*keys, v.alias(alias))
 
 
 def median_aggregate(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
@@ -74,13 +81,15 @@ def median_aggregate(df: DataFrame, keys: Sequence[str], value: str, alias: str)
 
 
 def median_split(
-    df: DataFrame, keys: Sequence[str], value: str, alias: str, partitions: int | None = None
+    df: DataFrame, keys: Sequence[str], value: str, alias: str, partitions: int | None = None, count: str | None = None
 ) -> DataFrame:
-    """Exact lower median that splits hot groups into value ranges."""
+    """Exact lower median that splits hot groups into value ranges (``count`` as for
+    ``median_window``). The input is read once: a null stays in the split with weight 0."""
     keys = list(keys)
-    x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    # pre-aggregate: ties collapse map-side, every (group, value) is one row
-    w = x.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    if count is None:  # ties collapse map-side, every (group, value) is one row
+        w = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(value).alias("_c"))
+    else:
+        w = df.select(*keys, F.col(value).alias("_v"), F.when(F.col(value).isNotNull(), F.col(count)).otherwise(0).cast("long").alias("_c"))
     # range split on (group, value); the checkpoint fixes the split
     cols = [*[F.col(k) for k in keys], F.col("_v")]
     split = w.repartitionByRange(partitions, *cols) if partitions else w.repartitionByRange(*cols)
@@ -97,7 +106,7 @@ def median_split(
     )
     target = (
         segs.withColumn("_before", before)
-        .withColumn("_k", F.floor((F.sum("_seg").over(grp) + 1) / 2).cast("long"))
+        .withColumn("_k", F.shiftright(F.sum("_seg").over(grp) + 1, 1))
         .where((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_seg") >= F.col("_k")))
         .select(*keys, "_p", (F.col("_k") - F.col("_before")).alias("_local_k"))
     )
@@ -105,8 +114,8 @@ def median_split(
     found = run.join(target, [*keys, "_p"]).where(hit).select(*keys, F.col("_v").alias(alias))
     # groups whose values are all null keep a null median, as an aggregate gives
     empty = (
-        df.groupBy(*keys)
-        .agg(F.count(F.col(value)).alias("_n"))
+        r.groupBy(*keys)
+        .agg(F.sum("_c").alias("_n"))
         .where(F.col("_n") == 0)
         .select(*keys, F.lit(None).cast(df.schema[value].dataType).alias(alias))
     )
@@ -128,26 +137,30 @@ def lower_median(
     max_group_rows: int | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
     accuracy: int = 10000,
+    count: str | None = None,
 ) -> DataFrame:
     """Lower median of ``value`` per ``keys``; one row per group, null when the
     group has no non-null value.
 
     ``method``: ``exact`` (window or split by group size), ``window``,
     ``aggregate``, ``split``, ``approx``. ``max_group_rows`` is a known bound of the largest group;
-    when omitted, ``exact`` measures it.
+    when omitted, ``exact`` measures it. ``count`` names a histogram's counts
+    (``exact``, ``window`` and ``split``; see ``median_window``).
     """
+    if count is not None and method not in ("exact", "window", "split"):
+        raise ValueError(f"median method {method!r} takes single rows, not counts")
     if method == "approx":
         return median_approx(df, keys, value, alias, accuracy)
     if method == "window":
-        return median_window(df, keys, value, alias)
+        return median_window(df, keys, value, alias, count)
     if method == "aggregate":
         return median_aggregate(df, keys, value, alias)
     if method == "split":
-        return median_split(df, keys, value, alias)
+        return median_split(df, keys, value, alias, count=count)
     if method != "exact":
         raise ValueError(f"unknown median method {method!r}")
     if max_group_rows is None:
         max_group_rows = max_group_size(df, keys, value)
     if max_group_rows <= hot_rows:
-        return median_window(df, keys, value, alias)
-    return median_split(df, keys, value, alias)
+        return median_window(df, keys, value, alias, count)
+    return median_split(df, keys, value, alias, count=count)

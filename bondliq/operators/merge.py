@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,34 +11,36 @@ from bondliq.functions.combine import combined_providers, combined_qdays, combin
 from bondliq.functions.dates import anchor_date_lit, days_between
 
 
-def coverage_merge(bonds: DataFrame, tsq: DataFrame, otc: DataFrame) -> DataFrame:
+def coverage_merge(bonds: DataFrame, tsq: DataFrame, otc: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Bonds left-join exchange metrics, left-join OTC metrics, keep bonds
-    found in at least one market."""
-    t = tsq.select(
-        F.col("id").alias("tsq_id"),
-        F.col("bid_ask_spread_relative_median").alias("tsq_baspread_rel_median"),
-        F.col("providers_cnt").alias("tsq_providers_cnt"),
-        F.col("qdays_cnt").alias("tsq_qdays_cnt"),
-    )
-    o = otc.select(
-        F.col("id").alias("otc_id"),
-        F.col("bid_ask_spread_relative_median").alias("otc_baspread_rel_median"),
-        F.col("providers_cnt").alias("otc_providers_cnt"),
-        F.col("qdays_cnt").alias("otc_qdays_cnt"),
-    )
-    b = bonds.select("id", "isin", "usd_volume", "date_of_end_placing", "maturity_date")
+    found in at least one market. ``also``: further columns of the key (the anchor date where
+    several run as one plan)."""
+    key = [*also, "id"]
+
+    def market(df: DataFrame, name: str) -> DataFrame:
+        return df.select(
+            *key,
+            F.col("id").alias(f"{name}_id"),
+            F.col("bid_ask_spread_relative_median").alias(f"{name}_baspread_rel_median"),
+            F.col("providers_cnt").alias(f"{name}_providers_cnt"),
+            F.col("qdays_cnt").alias(f"{name}_qdays_cnt"),
+        )
+
+    b = bonds.select(*key, "isin", "usd_volume", "date_of_end_placing", "maturity_date")
     return (
-        b.join(t, b["id"] == t["tsq_id"], "left")
-        .join(o, b["id"] == o["otc_id"], "left")
+        b.join(market(tsq, "tsq"), key, "left")
+        .join(market(otc, "otc"), key, "left")
         .where(F.col("tsq_id").isNotNull() | F.col("otc_id").isNotNull())
         .drop("otc_id")
     )
 
 
-def merge_metrics(merged: DataFrame, anchor: str) -> DataFrame:
-    """D3, X2-X5, D4 on the coverage merge (one anchor date)."""
-    anchor_date = anchor_date_lit(anchor)
+def merge_metrics(merged: DataFrame, anchor: str | None, also: Sequence[str] = ()) -> DataFrame:
+    """D3, X2-X5, D4 on the coverage merge: of one anchor date, or of the date (yyyyMMdd) that
+    the first column of ``also`` names."""
+    anchor_date = anchor_date_lit(anchor) if anchor is not None else F.to_date(F.col(also[0]).cast("string"), "yyyyMMdd")
     return merged.select(
+        *also,
         "id", "tsq_id", "isin", "usd_volume", "date_of_end_placing", "maturity_date",
         "tsq_baspread_rel_median", "tsq_providers_cnt", "tsq_qdays_cnt",
         "otc_baspread_rel_median", "otc_providers_cnt", "otc_qdays_cnt",

@@ -3,27 +3,38 @@ every bid x ask pair of a (bond, provider, day), without listing all pairs.
 
 The production rule pairs k bids with m asks of a key (k * m quotes) and takes
 the lower median of their spreads per (bond, day) across providers. Listing
-k * m rows is quadratic for a hot key, so:
-
-1. Each side is reduced to distinct values with multiplicities (map-side
-   partial aggregation); a pair of distinct values weighs w_bid * w_ask.
-2. Day groups with at most ``pair_cap`` distinct value pairs list them and take
-   a weighted lower median (bounded per group).
-3. Larger day groups are solved exactly without listing: for positive prices
-   the spread grows with the ratio ask / bid, so the k-th pair is found by
+k * m rows is quadratic for a large key, so each side is reduced to distinct
+values with multiplicities (map-side partial aggregation; a pair of distinct
+values weighs w_bid * w_ask), and every day is solved in the way that is
+cheapest for it:
+
+1. *Listed*: a day with at most ``LIST_FACTOR`` times as many distinct value
+   pairs as distinct values (and at most ``pair_cap``) lists its pairs and takes
+   a weighted lower median. So the pair join never makes more than that multiple
+   of the values it reads, however many such days there are.
+2. *Ranked in a task*: a day with more pairs whose values fit in one task (most
+   of the days between) is solved by rank selection on sorted sides: for positive
+   prices the spread grows with the ratio ask / bid, so the k-th pair is found by
    narrowing a ratio bracket. Each round puts ``thresholds`` cut points inside
-   the bracket and counts, for every bid b, the asks a <= b * t of its key
-   (a sorted rank lookup on a range split, ``cumulative_within``); the bracket
-   holding rank ceil(n/2) is kept. When it holds at most ``pair_cap``
-   distinct pairs, only those pairs are listed (by ask position per bid) and
-   the remaining rank is selected among them. A bracket whose bounds are
-   adjacent doubles ends too: each bid meets only a few distinct asks in it.
+   the bracket and counts, for every bid b, the asks a <= b * t of its key by a
+   running sum over the key's sorted asks and probes; the bracket holding rank
+   ceil(n/2) is kept. All such days narrow their brackets in the same rounds.
+3. *Ranked over ranges*: for a day whose values do not fit in one task, the same
+   running sums are taken over a range split (``cumulative_within``).
+
+When a bracket holds at most as many distinct pairs as the day might have listed,
+only those pairs are listed (by ask position per bid) and the remaining rank is
+selected among them. A bracket whose bounds are adjacent doubles ends too: each
+bid meets only a few distinct asks in it.
 
 Ratio and computed spread order pairs alike up to rounding, so the last bracket is
 widened on both sides by more than the rounding can move a pair (``_margin``). Pairs
 below it are certainly not above the median, pairs beyond it not below; those inside
 are listed, added up by computed spread, and the median is chosen among these values.
 The answer is the one that listing every pair gives, bit for bit, at every size.
+
+``by`` names the columns that identify a bond (with the anchor date where several
+anchor dates run as one plan).
 """
 
 from __future__ import annotations
@@ -38,12 +49,23 @@ from bondliq.functions.spread import relative_spread
 from bondliq.operators.cumulative import cumulative_within
 from bondliq.session import materialize
 
-# Distinct bid x ask value pairs of one day group listed at once.
+# Distinct bid x ask value pairs of one day group listed at once, at most, and
+# as a multiple of the day's distinct bids and asks.
 PAIR_CAP = 1_000_000
+LIST_FACTOR = 16
 THRESHOLDS = 16
+# Sorted asks and probes of one day that a task ranks.
+HOT_DAY_ROWS = 1_000_000
+
+BY = ("bond",)
+
+
+def group_of(by: Sequence[str]) -> list[str]:
+    return [*by, "date"]
 
-GROUP = ["bond", "date"]
-KEY = ["bond", "prov", "date"]
+
+def key_of(by: Sequence[str]) -> list[str]:
+    return [*by, "prov", "date"]
 
 # Pair counts are products of side counts: past 9.2e18 a long overflows (an
 # error under ANSI). The day statistics are summed in decimal(38,0); the
@@ -63,14 +85,15 @@ def _pairs(a, b, kind: str = WIDE_COUNT):
     return a.cast(kind) * b.cast(kind)
 
 
-def side_values(side: DataFrame, value: str) -> DataFrame:
+def side_values(side: DataFrame, value: str, by: Sequence[str] = BY) -> DataFrame:
     """(bond, prov, date, value, w): distinct values with their row counts."""
-    return side.groupBy(*KEY, value).agg(F.count(F.lit(1)).alias("w"))
+    return side.groupBy(*key_of(by), value).agg(F.count(F.lit(1)).alias("w"))
 
 
-def pair_stats(bids_v: DataFrame, asks_v: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pair_stats(bids_v: DataFrame, asks_v: DataFrame, by: Sequence[str] = BY) -> tuple[DataFrame, DataFrame]:
     """Per paired key (k, m, distinct counts, extremes) and per day group
-    (n pairs, d distinct pairs, ratio bounds)."""
+    (n pairs, d distinct pairs, v distinct values, ratio bounds)."""
+    KEY, GROUP = key_of(by), group_of(by)
     kb = bids_v.groupBy(*KEY).agg(
         F.sum("w").alias("k"), F.count(F.lit(1)).alias("kd"), F.min("bid").alias("bmin"), F.max("bid").alias("bmax")
     )
@@ -81,6 +104,7 @@ def pair_stats(bids_v: DataFrame, asks_v: DataFrame) -> tuple[DataFrame, DataFra
     groups = keys.groupBy(*GROUP).agg(
         F.sum(_pairs("k", "m")).alias("n"),
         F.sum(_pairs("kd", "md")).alias("d"),
+        F.sum(F.col("kd") + F.col("md")).alias("v"),
         F.min(F.col("amin") / F.col("bmax")).alias("rmin"),
         F.max(F.col("amax") / F.col("bmin")).alias("rmax"),
     )
@@ -108,7 +132,18 @@ def weighted_lower_median(
     return x.where(hit).select(*keys, F.col(value).alias(alias))
 
 
-def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str, kind: str = WIDE_COUNT) -> DataFrame:
+def list_cap(pair_cap: int):
+    """Distinct pairs that a day may list, from its distinct values ``v``."""
+    return F.least(F.lit(pair_cap).cast("long"), F.col("v") * LIST_FACTOR)
+
+
+def day_path(pair_cap: int, hot_rows: int, thresholds: int = THRESHOLDS):
+    """How a day is solved: 0 listed, 1 ranked in a task, 2 ranked over ranges."""
+    return F.when(F.col("d") <= list_cap(pair_cap), 0).when(F.col("v") * thresholds <= hot_rows, 1).otherwise(2)
+
+
+def _light(bids_v: DataFrame, asks_v: DataFrame, alias: str, kind: str, by: Sequence[str]) -> DataFrame:
+    KEY, GROUP = key_of(by), group_of(by)
     b = bids_v.withColumnRenamed("w", "wb")
     a = asks_v.withColumnRenamed("w", "wa")
     pairs = b.join(a, KEY, "inner")
@@ -123,22 +158,25 @@ def _margin(t):
     return F.lit(2.0 ** -48) * (1 + t + 1 / t)
 
 
-def _lookup(asks_u: DataFrame, probes: DataFrame, parts: int | None) -> DataFrame:
+def _lookup(u: DataFrame, key: Sequence[str], over_ranges: bool, parts: int | None) -> DataFrame:
     """Per probe (and per ask), cumulative ask weight ``cum__aw`` and ask count
     ``cum__ad`` of its key up to its value (asks first on equal values)."""
-    u = asks_u.unionByName(probes, allowMissingColumns=True)
-    return cumulative_within(u, KEY, ["_x", "_kind"], ["_aw", "_ad"], partitions=parts)
+    if over_ranges:
+        return cumulative_within(u, key, ["_x", "_kind"], ["_aw", "_ad"], partitions=parts)
+    run = Window.partitionBy(*key).orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return u.select("*", F.sum("_aw").over(run).alias("cum__aw"), F.sum("_ad").over(run).alias("cum__ad"))
 
 
-def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str, *,
-           pair_cap: int, thresholds: int, parts: int | None, kind: str = WIDE_COUNT) -> DataFrame:
+def _ranked(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str, *, pair_cap: int, thresholds: int,
+            parts: int | None, kind: str, by: Sequence[str], over_ranges: bool) -> DataFrame:
+    KEY, GROUP = key_of(by), group_of(by)
     gsel = groups.select(*GROUP)
     bh = bids_v.join(gsel, GROUP, "left_semi").select(*KEY, "bid", F.col("w").alias("_bw"))
     asks_u = asks_v.join(gsel, GROUP, "left_semi").select(
         *KEY, F.col("ask").alias("_x"), F.lit(0).alias("_kind"), F.col("w").alias("_aw"),
         F.lit(1).cast("long").alias("_ad"),
     )
-    open_cond = (F.col("d_hi") - F.col("d_lo") > pair_cap) & ~F.col("stuck")
+    open_cond = (F.col("d_hi") - F.col("d_lo") > F.col("cap")) & ~F.col("stuck")
 
     def keep(frame: DataFrame) -> tuple[DataFrame, int]:
         # checkpoint the state and count the open brackets in the same job
@@ -148,7 +186,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
 
     # bracket (lo, hi] in ratio space with c(lo) = 0 and c(hi) = n
     state, still_open = keep(groups.select(
-        *GROUP, F.floor((F.col("n") + 1) / 2).alias("r"),
+        *GROUP, list_cap(pair_cap).cast(WIDE_COUNT).alias("cap"), F.floor((F.col("n") + 1) / 2).alias("r"),
         (F.col("rmin") / 2).alias("lo"), (F.col("rmax") * 2).alias("hi"),
         F.lit(0).cast(WIDE_COUNT).alias("d_lo"), F.col("d").alias("d_hi"), F.lit(False).alias("stuck"),
     ))
@@ -161,7 +199,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
             *KEY, (F.col("bid") * F.col("_t")).alias("_x"), F.lit(1).alias("_kind"),
             F.lit(0).cast("long").alias("_aw"), F.lit(0).cast("long").alias("_ad"), "_bw", "_j", "_t",
         )
-        looked = _lookup(asks_u, probes, parts).where(F.col("_kind") == 1)
+        looked = _lookup(asks_u.unionByName(probes, allowMissingColumns=True), KEY, over_ranges, parts).where(F.col("_kind") == 1)
         # cut points can round to one value near the end: count each apart
         counts = looked.groupBy(*GROUP, "_j", "_t").agg(
             F.sum(_pairs("_bw", "cum__aw", kind)).alias("_c"), F.sum(F.col("cum__ad").cast(WIDE_COUNT)).alias("_d")
@@ -174,7 +212,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         nxt = (
             state.join(below, GROUP, "left").join(above, GROUP, "left")
             .select(
-                *GROUP, "r",
+                *GROUP, "cap", "r",
                 F.coalesce(F.col("b.t"), F.col("lo")).alias("lo"), F.coalesce(F.col("a.t"), F.col("hi")).alias("hi"),
                 F.coalesce(F.col("b.d"), F.col("d_lo")).alias("d_lo"), F.coalesce(F.col("a.d"), F.col("d_hi")).alias("d_hi"),
                 "stuck", F.col("lo").alias("_lo0"), F.col("hi").alias("_hi0"), open_cond.alias("_was_open"),
@@ -197,7 +235,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
         ends.select(*KEY, (F.col("bid") * F.col("hi")).alias("_x"), F.lit(1).alias("_kind"),
                     F.lit(0).cast("long").alias("_aw"), F.lit(0).cast("long").alias("_ad"),
                     "bid", "_bw", F.lit("hi").alias("_end")))
-    looked = _lookup(asks_u, probes, parts)
+    looked = _lookup(asks_u.unionByName(probes, allowMissingColumns=True), KEY, over_ranges, parts)
     asks_pos = looked.where(F.col("_kind") == 0).select(*KEY, F.col("_x").alias("ask"), F.col("_aw").alias("_aw"),
                                                         F.col("cum__ad").alias("_pos"))
     ends = looked.where(F.col("_kind") == 1)
@@ -208,7 +246,7 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
     )
     c_lo = per_bid.groupBy(*GROUP).agg(F.sum(_pairs("_bw", "_wlo", kind)).alias("c_lo"))
     spans = per_bid.where(F.col("_phi") > F.col("_plo"))
-    # pair_cap distinct pairs a group, or a few asks to each bid
+    # as many distinct pairs as the day might have listed, or a few asks to each bid
     listed = spans.select(
         *KEY, "bid", "_bw", F.explode(F.sequence(F.col("_plo") + 1, F.col("_phi"))).alias("_pos")
     ).join(asks_pos, [*KEY, "_pos"])
@@ -218,23 +256,26 @@ def _heavy(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str,
     return weighted_lower_median(cand.join(rank, GROUP), GROUP, "_s", "_w", alias, rank="_rr")
 
 
-def pair_profile(keys: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_profile(keys: DataFrame, groups: DataFrame, by: Sequence[str] = BY, pair_cap: int = PAIR_CAP,
+                 hot_rows: int = HOT_DAY_ROWS) -> DataFrame:
     """Per bond: providers_cnt and qdays_cnt over keys present on both sides
-    (A3, A4), and the largest distinct-pair count of one of its days."""
-    per_day = groups.groupBy("bond").agg(
+    (A3, A4), the largest pair count of one of its days, and the most elaborate
+    way that one of its days needs (``day_path``)."""
+    path = day_path(pair_cap, hot_rows)
+    per_day = groups.groupBy(*by).agg(
         F.count(F.lit(1)).cast("bigint").alias("qdays_cnt"), F.max("d").alias("max_day_pairs"),
         F.max("n").alias("max_day_weighted_pairs"),
+        F.max(F.when(path == 1, 1).otherwise(0)).alias("in_task"), F.max(F.when(path == 2, 1).otherwise(0)).alias("over_ranges"),
     )
     # the distinct-value counts keep this branch on the shared side-value
-    # aggregations (one scan per side); a branch that only counted keys would
-    # be rewritten into its own pass over the quotes
-    per_prov = keys.groupBy("bond", "prov").agg(
+    # aggregations; a branch that only counted keys would be rewritten into its own pass
+    per_prov = keys.groupBy(*by, "prov").agg(
         F.sum(_pairs("kd", "md")).alias("d"), F.sum(_pairs("k", "m")).alias("n")
-    ).groupBy("bond").agg(
+    ).groupBy(*by).agg(
         F.count(F.lit(1)).cast("bigint").alias("providers_cnt"), F.max("d").alias("max_prov_pairs"),
         F.max("n").alias("max_prov_weighted_pairs"),
     )
-    return per_day.join(per_prov, "bond")
+    return per_day.join(per_prov, list(by))
 
 
 def day_medians_from_values(
@@ -248,25 +289,36 @@ def day_medians_from_values(
     pair_cap: int = PAIR_CAP,
     thresholds: int = THRESHOLDS,
     partitions: int | None = None,
+    hot_rows: int = HOT_DAY_ROWS,
+    paths: tuple[bool, bool] | None = None,
+    by: Sequence[str] = BY,
 ) -> DataFrame:
     """Day medians from side values and day stats (see ``pair_spread_medians``).
 
-    ``largest_day_pairs``: most distinct value pairs of a day (chooses the
-    path); ``largest_day_weighted_pairs``: most pairs of a day counting
-    repeats (chooses long or decimal counts; unknown means decimal).
+    ``largest_day_pairs``: most distinct value pairs of a day; ``largest_day_weighted_pairs``:
+    most pairs of a day counting repeats (chooses long or decimal counts; unknown means
+    decimal); ``paths``: whether some day is ranked in a task, and some over ranges (unknown:
+    one small aggregation over the day stats).
     """
     kind = WIDE_COUNT if largest_day_weighted_pairs is None else count_type(largest_day_weighted_pairs)
-    if largest_day_pairs <= pair_cap:
-        return _light(bids_v, asks_v, alias, kind)
-    heavy_groups = groups.where(F.col("d") > pair_cap)
-    # both sides drop the heavy days before the pair join, so a hot day never
+    group = group_of(by)
+    path = day_path(pair_cap, hot_rows, thresholds)
+    if paths is None:
+        paths = (False, False)
+        if largest_day_pairs > min(pair_cap, 2 * LIST_FACTOR):  # no day has fewer than two values
+            row = groups.agg(F.max(F.when(path == 1, 1)).alias("a"), F.max(F.when(path == 2, 1)).alias("b")).first()
+            paths = (bool(row["a"]), bool(row["b"]))
+    if not any(paths):
+        return _light(bids_v, asks_v, alias, kind, by)
+    # both sides drop the other days before the pair join, so a large day never
     # reaches that shuffle (anti join: broadcast when small, else skew-split)
-    heavy_keys = heavy_groups.select(*GROUP)
-    light = _light(bids_v.join(heavy_keys, GROUP, "left_anti"), asks_v.join(heavy_keys, GROUP, "left_anti"), alias,
-                   kind)
-    heavy = _heavy(bids_v, asks_v, heavy_groups, alias, pair_cap=pair_cap, thresholds=thresholds,
-                   parts=partitions, kind=kind)
-    return light.unionByName(heavy)
+    large = groups.where(path > 0).select(*group)
+    out = _light(bids_v.join(large, group, "left_anti"), asks_v.join(large, group, "left_anti"), alias, kind, by)
+    for over_ranges, found in enumerate(paths):
+        if found:
+            out = out.unionByName(_ranked(bids_v, asks_v, groups.where(path == over_ranges + 1), alias, pair_cap=pair_cap,
+                                          thresholds=thresholds, parts=partitions, kind=kind, by=by, over_ranges=bool(over_ranges)))
+    return out
 
 
 def pair_spread_medians(
@@ -277,6 +329,7 @@ def pair_spread_medians(
     pair_cap: int = PAIR_CAP,
     thresholds: int = THRESHOLDS,
     partitions: int | None = None,
+    hot_rows: int = HOT_DAY_ROWS,
 ) -> DataFrame:
     """(bond, date, ``alias``) over all bid x ask pairs of each day.
 
@@ -286,7 +339,9 @@ def pair_spread_medians(
     """
     bids_v, asks_v = materialize(side_values(bids, "bid")), materialize(side_values(asks, "ask"))
     _, groups = pair_stats(bids_v, asks_v)
-    row = groups.agg(F.max("d").alias("d"), F.max("n").alias("n")).first()
+    path = day_path(pair_cap, hot_rows, thresholds)
+    row = groups.agg(F.max("d").alias("d"), F.max("n").alias("n"), F.max(F.when(path == 1, 1)).alias("a"),
+                     F.max(F.when(path == 2, 1)).alias("b")).first()
     return day_medians_from_values(bids_v, asks_v, groups, row["d"] or 0, alias,
-                                   largest_day_weighted_pairs=row["n"] or 0, pair_cap=pair_cap,
-                                   thresholds=thresholds, partitions=partitions)
+                                   largest_day_weighted_pairs=row["n"] or 0, pair_cap=pair_cap, thresholds=thresholds,
+                                   partitions=partitions, hot_rows=hot_rows, paths=(bool(row["a"]), bool(row["b"])))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,41 +11,46 @@ from bondliq import schemas
 from bondliq.functions.index import MIN_QUOTED_DAYS, index_from_columns, qdays_rank, ratio
 from bondliq.operators.enforce import enforce
 from bondliq.operators.merge import coverage_merge, global_aggs, merge_metrics, with_global_aggs
-from bondliq.operators.position import global_position
+from bondliq.operators.position import Ranking, global_positions, with_row_key
 from bondliq.operators.weights import weights_dict
 from bondliq.session import materialize
 
 # Widest spread first, unknown spread last; W2: smallest volume first,
 # unknown volume first (ranks worst). Ties go to the lower id.
-def spread_order():
-    return [F.col("baspread_rel_median").desc_nulls_last(), F.col("id").asc()]
-
-
-def volume_order():
-    return [F.col("usd_volume").asc_nulls_first(), F.col("id").asc()]
+SPREAD = Ranking("baspread_rel_median", "pos_by_baspread_rel_median", descending=True, nulls_first=False)
+VOLUME = Ranking("usd_volume", "pos_by_usd_volume", descending=False, nulls_first=True)
+#: names the rows of the kept merged table, so that narrow tables can be ranked and joined back
+ROW_KEY = "_row"
 
 
 def merged_metrics(
-    tsq: DataFrame, otc: DataFrame, bonds: DataFrame, anchor: str, checkpoint_merged: bool = True
+    tsq: DataFrame, otc: DataFrame, bonds: DataFrame, anchor: str | None, checkpoint_merged: bool = True, also: Sequence[str] = ()
 ) -> DataFrame:
     """J5 + D3 + X2-X5 + D4 + A5 + J6: one row per covered bond with the
     per-date aggregates attached.
 
-    With ``checkpoint_merged`` the merged table (one row per bond) is checkpointed
-    to the shared folder before it is read three times (aggregates, and the
-    two range splits, which sample their input before shuffling it); without
-    it every reader would recompute the quote aggregations.
+    With ``checkpoint_merged`` the merged table (one row per bond, with a row key) is checkpointed
+    to the shared folder before it is read three times (aggregates, positions, result);
+    without it every reader would recompute the quote aggregations. ``also``: the columns that
+    name the anchor date of a row, where several run as one plan (``anchor`` is None then).
     """
-    merged = merge_metrics(coverage_merge(bonds, tsq, otc), anchor)
+    merged = merge_metrics(coverage_merge(bonds, tsq, otc, also), anchor, also)
     if checkpoint_merged:
-        merged = materialize(merged)
+        merged = materialize(with_row_key(merged, ROW_KEY))
     return with_global_aggs(merged, global_aggs(merged))
 
 
+def positions(merged: DataFrame, rankings: Sequence[Ranking] = (SPREAD, VOLUME)) -> DataFrame:
+    """W1 and W2 of every anchor date: widest spread first, unknown spread last; smallest volume
+    first, unknown volume first (ranks worst). Ties go to the lower id."""
+    if ROW_KEY not in merged.columns:
+        merged = materialize(with_row_key(merged, ROW_KEY))
+    return global_positions(merged, rankings, ROW_KEY, "id", within=["anchor_date"]).drop(ROW_KEY)
+
+
 def ranked(merged: DataFrame) -> DataFrame:
     """W1, W2, X6, X7 on the merged table."""
-    m = global_position(merged, spread_order(), "pos_by_baspread_rel_median")
-    return with_ranks(global_position(m, volume_order(), "pos_by_usd_volume"))
+    return with_ranks(positions(merged))
 
 
 def with_ranks(m: DataFrame) -> DataFrame:

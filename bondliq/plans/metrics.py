@@ -2,56 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bondliq import schemas
 from bondliq.functions.spread import relative_spread
-from bondliq.operators.clean import exchange_clean, listed, listing_plan, otc_clean, otc_sides, strict_quotes
+from bondliq.operators.bloom import maybe_listed
+from bondliq.operators.clean import ASK, BID, exchange_clean, listed, listing_plan, otc_clean, otc_sides, strict_quotes
 from bondliq.operators.enforce import enforce, split_rejects
 from bondliq.operators.median import HOT_GROUP_ROWS, lower_median
-from bondliq.operators.pair_median import (
-    PAIR_CAP,
-    day_medians_from_values,
-    pair_profile,
-    pair_stats,
-    side_values,
-)
+from bondliq.operators.pair_median import PAIR_CAP, day_medians_from_values, key_of, pair_profile, pair_stats
 from bondliq.operators.pairing import pair_sides
-from bondliq.session import materialize
+from bondliq.session import materialize, staged, unstage
+
+BY = ("bond",)
 
 
-def spreads(quotes: DataFrame) -> DataFrame:
+def spreads(quotes: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """X1 on strict quotes: (bond, prov, date, ba_spread)."""
-    return quotes.select("bond", "prov", "date", relative_spread("bid", "ask").alias("ba_spread"))
+    return quotes.select(*by, "prov", "date", relative_spread("bid", "ask").alias("ba_spread"))
+
 
+# entries of the histogram: a spread of a day, a provider
+DAY, PROVIDER = 1, 2
 
-def quote_profile(spread_rows: DataFrame) -> DataFrame:
-    """Per bond: providers_cnt, qdays_cnt (A3, A4), quote rows and the largest day group.
 
-    One scan: each row is expanded into a (bond, day) and a (bond, provider)
-    entry and counted per entry with map-side partial aggregation, so the
-    first shuffle carries each map task's distinct bond-days and
-    bond-providers, not its rows; a second small aggregation folds them per
-    bond. (The same shape as Spark's own rewrite of several distinct counts.)
+def quote_histogram(spread_rows: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+    """(bond, entry, date, ba_spread, prov, rows): how often each spread occurs on each day
+    of a bond (null spreads too), and how many quotes each of its providers gave.
+
+    Everything that the market metrics need from the quotes, in one pass: each row is
+    expanded into its two entries, counted per entry with map-side partial aggregation (the
+    same shape as Spark's own rewrite of several distinct counts).
     """
-    date_t = spread_rows.schema["date"].dataType
-    prov_t = spread_rows.schema["prov"].dataType
-    entry = F.explode(F.array(
-        F.struct(F.lit(1).alias("g"), F.col("date").alias("d"), F.lit(None).cast(prov_t).alias("p")),
-        F.struct(F.lit(2).alias("g"), F.lit(None).cast(date_t).alias("d"), F.col("prov").alias("p")),
-    )).alias("e")
-    entries = (
-        spread_rows.select("bond", entry)
-        .groupBy("bond", F.col("e.g").alias("g"), F.col("e.d").alias("d"), F.col("e.p").alias("p"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    day = F.col("g") == 1
-    return entries.groupBy("bond").agg(
+    kinds = {c: spread_rows.schema[c].dataType for c in ("date", "ba_spread", "prov")}
+
+    def entry(kind: int, *columns: str):
+        own = [F.col(c).alias(c) if c in columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
+        return F.struct(F.lit(kind).alias("entry"), *own)
+
+    rows = spread_rows.select(*by, F.explode(F.array(entry(DAY, "date", "ba_spread"), entry(PROVIDER, "prov"))).alias("e"))
+    return rows.select(*by, "e.*").groupBy(*by, "entry", *kinds).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def quote_profile(histogram: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+    """Per bond: providers_cnt, qdays_cnt (A3, A4) and the most distinct spreads of a day."""
+    entries = histogram.groupBy(*by, "entry", "date", "prov").agg(F.count(F.lit(1)).alias("n"))
+    day = F.col("entry") == DAY
+    return entries.groupBy(*by).agg(
         F.count(F.when(~day, F.lit(1))).cast("bigint").alias("providers_cnt"),
         F.count(F.when(day, F.lit(1))).cast("bigint").alias("qdays_cnt"),
-        F.max(F.when(day, F.col("rows"))).alias("max_day_rows"),
-        F.sum(F.when(day, F.col("rows"))).alias("quote_rows"),
+        F.max(F.when(day, F.col("n"))).alias("max_day_values"),
     )
 
 
@@ -63,15 +67,16 @@ def kept_profile(profile: DataFrame, **bounds) -> tuple[DataFrame, dict]:
     return kept, {k: int(v or 0) for k, v in obs.get.items()}
 
 
-def day_medians(spread_rows: DataFrame, method: str = "exact", bound: int | None = None) -> DataFrame:
+def day_medians(spread_rows: DataFrame, method: str = "exact", bound: int | None = None, by: Sequence[str] = BY,
+                count: str | None = None) -> DataFrame:
     """A1: (bond, date, median_of_tgs) over every quote row of the day."""
-    return lower_median(spread_rows, ["bond", "date"], "ba_spread", "median_of_tgs",
-                        method=method, max_group_rows=bound)
+    return lower_median(spread_rows, [*by, "date"], "ba_spread", "median_of_tgs",
+                        method=method, max_group_rows=bound, count=count)
 
 
-def median_of_medians(day: DataFrame, method: str = "exact", bound: int | None = None) -> DataFrame:
+def median_of_medians(day: DataFrame, method: str = "exact", bound: int | None = None, by: Sequence[str] = BY) -> DataFrame:
     """A2: (bond, bid_ask_spread_relative_median) over the day medians."""
-    return lower_median(day, ["bond"], "median_of_tgs", "bid_ask_spread_relative_median",
+    return lower_median(day, list(by), "median_of_tgs", "bid_ask_spread_relative_median",
                         method=method, max_group_rows=bound)
 
 
@@ -81,65 +86,96 @@ def quote_metrics(
     *,
     median_method: str = "exact",
     on_null: str = "raise",
+    rejects: str | None = None,
     name: str = "metrics",
     hot_rows: int = HOT_GROUP_ROWS,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """(id, isin, bid_ask_spread_relative_median, providers_cnt, qdays_cnt).
 
+    The quotes are read once, into a kept histogram; the counts, the group sizes that choose
+    the median plans, and both median levels read that. It is removed when the metrics (one row
+    per bond) are kept.
+
     ``on_null``: a bond whose every mid is zero has no median; ``raise`` fails
-    the job (the production schema says non-null), ``reject`` drops the bond.
+    the job (the production schema says non-null), ``reject`` drops the bond and, if
+    ``rejects`` names a folder, writes it there. ``also``: further columns that identify a
+    bond (the anchor date where several run as one plan).
     """
-    s = spreads(quotes)
-    # one job: counts and group sizes per bond, kept (one row per bond) with
-    # the largest sizes observed on the way; the median job below is the only
-    # other pass over the quotes
-    profile, b = kept_profile(quote_profile(s), day_rows="max_day_rows", days="qdays_cnt")
-    day_bound, bond_bound = b["day_rows"], b["days"]
-    if median_method == "exact":
-        # choose per level; both plans are exact
-        day_method = "window" if day_bound <= hot_rows else "split"
-        bond_method = "window" if bond_bound <= hot_rows else "split"
+    by = (*also, "bond")
+    s = spreads(quotes, by)
+    histogram = staged(quote_histogram(s, by), name.replace(" ", "-"), by=["entry"])
+    profile, b = kept_profile(quote_profile(histogram, by), values="max_day_values", days="qdays_cnt")
+    days = histogram.where(F.col("entry") == DAY)
+    if median_method in ("approx", "aggregate"):  # these take single rows: a second pass over the quotes
+        day = day_medians(s, median_method, by=by)
+        med = median_of_medians(day, median_method, by=by)
     else:
-        day_method = bond_method = median_method
-    day = day_medians(s, day_method, day_bound)
-    med = median_of_medians(day, bond_method, bond_bound)
-    return _finish(bonds, profile.select("bond", "providers_cnt", "qdays_cnt"), med, on_null, name)
+        day = day_medians(days, _plan(median_method, b["values"], hot_rows), b["values"], by, "rows")
+        med = median_of_medians(day, _plan(median_method, b["days"], hot_rows), b["days"], by)
+    out = _finish(bonds, profile.select(*by, "providers_cnt", "qdays_cnt"), med, on_null, name, rejects, also)
+    unstage(histogram)
+    return out
 
 
-def _finish(bonds: DataFrame, cnt: DataFrame, med: DataFrame, on_null: str, name: str) -> DataFrame:
-    """J3 + J4 + P3: bonds with counts (every quoted bond) and medians."""
-    b = bonds.select("id", "isin")
+def _plan(method: str, largest: int, hot_rows: int) -> str:
+    """``exact``: by the largest group of the level (both plans are exact)."""
+    if method != "exact":
+        return method
+    return "window" if largest <= hot_rows else "split"
+
+
+def market_schema(bonds: DataFrame, also: Sequence[str]) -> T.StructType:
+    return T.StructType([*[T.StructField(c, bonds.schema[c].dataType, False) for c in also], *schemas.MARKET_METRICS.fields])
+
+
+def _finish(bonds: DataFrame, cnt: DataFrame, med: DataFrame, on_null: str, name: str, rejects: str | None,
+            also: Sequence[str]) -> DataFrame:
+    """J3 + J4 + P3: bonds with counts (every quoted bond) and medians, kept."""
+    key = [*also, "id"]
     joined = (
-        b.join(cnt, b["id"] == cnt["bond"], "inner")
-        .drop("bond")
-        .join(med, F.col("id") == med["bond"], "left")
-        .select("id", "isin", "bid_ask_spread_relative_median", "providers_cnt", "qdays_cnt")
+        bonds.select(*key, "isin")
+        .join(cnt.withColumnRenamed("bond", "id"), key, "inner")
+        .join(med.withColumnRenamed("bond", "id"), key, "left")
+        .select(*key, "isin", "bid_ask_spread_relative_median", "providers_cnt", "qdays_cnt")
     )
+    joined = materialize(joined)
+    schema = market_schema(bonds, also)
     if on_null == "reject":
-        good, _ = split_rejects(joined, schemas.MARKET_METRICS)
+        good, bad = split_rejects(joined, schema)
+        if rejects:
+            bad.write.mode("overwrite").parquet(rejects)
         return good
-    return enforce(joined, schemas.MARKET_METRICS, name)
+    return enforce(joined, schema, name)
 
 
-def _restrict(quotes: DataFrame, bonds: DataFrame, listing: str) -> DataFrame:
-    """J1 early (broadcast of a counted list) or late (see ``listing_plan``)."""
+def _restrict(quotes: DataFrame, bonds: DataFrame, listing: str, also: Sequence[str] = ()) -> DataFrame:
+    """J1 early (broadcast of a counted list, or of a Bloom filter of bounded size) or
+    late (see ``listing_plan``)."""
     plan = listing_plan(bonds) if listing == "auto" else listing
     if plan == "early":
-        return listed(quotes, bonds, broadcast=True)
+        return listed(quotes, bonds, broadcast=True, also=also)
     if plan == "join":  # the literal J1 join, planner's choice of strategy
-        return listed(quotes, bonds)
+        return listed(quotes, bonds, also=also)
+    if plan == "bloom":
+        return maybe_listed(quotes, bonds, also)
     return quotes
 
 
-def exchange_quotes(raw: DataFrame, bonds: DataFrame, listing: str = "join") -> DataFrame:
+def exchange_quotes(raw: DataFrame, bonds: DataFrame, listing: str = "join", also: Sequence[str] = ()) -> DataFrame:
     """Strict exchange quotes of listed bonds
-    (``listing="late"`` leaves J1 to the per-bond join of the metrics)."""
-    return strict_quotes(_restrict(exchange_clean(raw), bonds, listing), "exchange quotes")
+    (``listing`` "late" and "bloom" leave J1 to the per-bond join of the metrics)."""
+    return strict_quotes(_restrict(exchange_clean(raw, also=also), bonds, listing, also), "exchange quotes", also)
+
+
+def otc_listed(raw: DataFrame, bonds: DataFrame, listing: str = "join", also: Sequence[str] = ()) -> DataFrame:
+    """OTC quotes of listed bonds."""
+    return _restrict(otc_clean(raw, also=also), bonds, listing, also)
 
 
 def otc_listed_sides(raw: DataFrame, bonds: DataFrame, listing: str = "join") -> tuple[DataFrame, DataFrame]:
     """(bids, asks) of listed bonds."""
-    return otc_sides(_restrict(otc_clean(raw), bonds, listing))
+    return otc_sides(otc_listed(raw, bonds, listing))
 
 
 def otc_quotes(raw: DataFrame, bonds: DataFrame) -> DataFrame:
@@ -148,47 +184,61 @@ def otc_quotes(raw: DataFrame, bonds: DataFrame) -> DataFrame:
     return strict_quotes(pair_sides(bids, asks), "otc quotes")
 
 
-def paired_quote_metrics(
-    bids: DataFrame,
-    asks: DataFrame,
+def price_histogram(quotes: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+    """(bond, prov, date, quote_type, price, w), how often each price was quoted on each
+    side; codes of neither side vanish."""
+    sides = quotes.where(F.col("quote_type").isin(BID, ASK))
+    return sides.groupBy(*key_of(by), "quote_type", "price").agg(F.count(F.lit(1)).alias("w"))
+
+
+def two_sided_metrics(
+    quotes: DataFrame,
     bonds: DataFrame,
     *,
     median_method: str = "exact",
     on_null: str = "raise",
+    rejects: str | None = None,
     name: str = "otc metrics",
     pair_cap: int = PAIR_CAP,
     hot_rows: int = HOT_GROUP_ROWS,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """C2 over bid x ask pairs without listing them.
+    """C2 over the bid x ask pairs of (bond, prov, date, quote_type, price) rows, without
+    listing them.
 
-    One job builds the per-bond profile (providers and days over keys present
-    on both sides, largest day) from the side values and keeps it; the day
-    medians come from ``pair_median`` and the bond medians from the usual
-    lower median over days.
+    The quotes are read once, into a kept histogram of both sides. The key statistics, the
+    per-bond profile (providers and days over keys present on both sides), the day medians and
+    every bracket round read that.
     """
-    # the raw rows are read once per side: the profile, the medians and every bracket
-    # round read the kept side values
-    bids_v, asks_v = materialize(side_values(bids, "bid")), materialize(side_values(asks, "ask"))
-    keys, groups = pair_stats(bids_v, asks_v)
-    profile, b = kept_profile(pair_profile(keys, groups), d="max_day_pairs", n="max_day_weighted_pairs",
-                              days="qdays_cnt")
-    largest, most_days = b["d"], b["days"]
-    day = day_medians_from_values(bids_v, asks_v, groups, largest, "median_of_tgs",
-                                  largest_day_weighted_pairs=b["n"], pair_cap=pair_cap)
-    if median_method == "exact":
-        med = median_of_medians(day, "window" if most_days <= hot_rows else "split", most_days)
-    else:
-        med = median_of_medians(day, median_method)
-    return _finish(bonds, profile.select("bond", "providers_cnt", "qdays_cnt"), med, on_null, name)
+    by = (*also, "bond")
+    histogram = staged(price_histogram(quotes, by), name.replace(" ", "-"), by=["quote_type"])
+    bids_v, asks_v = [histogram.where(F.col("quote_type") == side).select(*key_of(by), F.col("price").alias(value), "w")
+                      for side, value in ((BID, "bid"), (ASK, "ask"))]
+    keys, groups = pair_stats(bids_v, asks_v, by)
+    profile, b = kept_profile(pair_profile(keys, groups, by, pair_cap), d="max_day_pairs", n="max_day_weighted_pairs",
+                              days="qdays_cnt", in_task="in_task", over_ranges="over_ranges")
+    day = day_medians_from_values(bids_v, asks_v, groups, b["d"], "median_of_tgs", largest_day_weighted_pairs=b["n"],
+                                  pair_cap=pair_cap, paths=(bool(b["in_task"]), bool(b["over_ranges"])), by=by)
+    med = median_of_medians(day, _plan(median_method, b["days"], hot_rows), b["days"], by)
+    out = _finish(bonds, profile.select(*by, "providers_cnt", "qdays_cnt"), med, on_null, name, rejects, also)
+    unstage(histogram)
+    return out
+
+
+def paired_quote_metrics(bids: DataFrame, asks: DataFrame, bonds: DataFrame, **kw) -> DataFrame:
+    """``two_sided_metrics`` of separate sides."""
+    keys = ["bond", "prov", "date"]
+    rows = [side.select(*keys, F.lit(code).alias("quote_type"), F.col(value).alias("price"))
+            for side, code, value in ((bids, BID, "bid"), (asks, ASK, "ask"))]
+    return two_sided_metrics(rows[0].unionByName(rows[1]), bonds, **kw)
 
 
 def exchange_metrics(raw: DataFrame, bonds: DataFrame, listing: str = "auto", **kw) -> DataFrame:
-    """C3. ``listing``: ``auto`` (count the bond list: broadcast-filter early
-    when bounded, else late), ``early``, ``late`` or ``join``."""
-    return quote_metrics(exchange_quotes(raw, bonds, listing), bonds, name="exchange metrics", **kw)
+    """C3. ``listing``: ``auto`` (count the bond list, see ``listing_plan``), ``early``,
+    ``bloom``, ``late`` or ``join``."""
+    return quote_metrics(exchange_quotes(raw, bonds, listing, kw.get("also", ())), bonds, name="exchange metrics", **kw)
 
 
 def otc_metrics(raw: DataFrame, bonds: DataFrame, listing: str = "auto", **kw) -> DataFrame:
     """C4 (``listing`` as for ``exchange_metrics``)."""
-    bids, asks = otc_listed_sides(raw, bonds, listing)
-    return paired_quote_metrics(bids, asks, bonds, **kw)
+    return two_sided_metrics(otc_listed(raw, bonds, listing, kw.get("also", ())), bonds, **kw)

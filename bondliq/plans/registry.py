@@ -23,7 +23,7 @@ from bondliq.operators.enforce import split_rejects
 from bondliq.operators.merge import coverage_merge, global_aggs, merge_metrics
 from bondliq.plans import liquidity as liq
 from bondliq.plans import metrics as met
-from bondliq.operators.position import global_position
+from bondliq.operators.position import Ranking
 from bondliq.session import materialize, staging_path
 from bondliq.sinks import tables as sinks
 from bondliq.sources import csv as csvsrc
@@ -203,8 +203,8 @@ def _csv_rejects(i: Inputs) -> DataFrame:
     return rows.where(F.col(csvsrc.CORRUPT).isNotNull()).groupBy("bond").agg(F.count("*").alias("bad_rows"))
 
 
-def _one_position(i: Inputs, order, alias: str) -> DataFrame:
-    return global_position(i.merged(), order, alias)
+def _one_position(i: Inputs, ranking: Ranking) -> DataFrame:
+    return liq.positions(i.merged(), [ranking]).select("id", ranking.column, ranking.alias)
 
 
 def _dense_day_medians(i: Inputs) -> DataFrame:
@@ -272,10 +272,8 @@ REGISTRY: dict[str, Query] = {
     "global_aggs": _q(lambda i: global_aggs(merge_metrics(
         coverage_merge(i.bonds(), i.tsq_metrics(), i.otc_metrics()), fx.ANCHOR_DATE))),
     # window / ranking
-    "pos_by_spread": _q(lambda i: _one_position(i, liq.spread_order(), "pos_by_baspread_rel_median").select(
-        "id", "baspread_rel_median", "pos_by_baspread_rel_median")),
-    "pos_by_usd_volume": _q(lambda i: _one_position(i, liq.volume_order(), "pos_by_usd_volume").select(
-        "id", "usd_volume", "pos_by_usd_volume")),
+    "pos_by_spread": _q(lambda i: _one_position(i, liq.SPREAD)),
+    "pos_by_usd_volume": _q(lambda i: _one_position(i, liq.VOLUME)),
     # scalar expressions
     "merge_metrics": _q(lambda i: merge_metrics(
         coverage_merge(i.bonds(), i.tsq_metrics(), i.otc_metrics()), fx.ANCHOR_DATE).select(

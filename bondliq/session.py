@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -71,11 +73,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A unique path below the shared folder for a staged table."""
-    import uuid
-
     return f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def files(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and a maker of its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def staged(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read back, one folder per
+    value of the columns ``by`` (readers that filter on them skip the rest). Unlike a
+    checkpoint it is columnar, so each reader reads its columns only, and ``unstage``
+    removes it."""
+    path = staging_path(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    out.staged_path = path
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for f in frames:
+        fs, make = files(f.sparkSession, f.staged_path)
+        fs.delete(make(f.staged_path), True)
+
+
 def materialize(df):
     """Checkpoint ``df`` into the shared folder (reliable, not local): cuts the
     lineage and fixes nondeterministic splits for every later reader."""
