@@ -164,7 +164,9 @@ def _lookup(u: DataFrame, key: Sequence[str], over_ranges: bool, parts: int | No
     if over_ranges:
         return cumulative_within(u, key, ["_x", "_kind"], ["_aw", "_ad"], partitions=parts)
     run = Window.partitionBy(*key).orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return u.select("*", F.sum("_aw").over(run).alias("cum__aw"), F.sum("_ad").over(run).alias("cum__ad"))
+    # an exchange of its own: a union whose sides happen to be dealt alike claims that dealing,
+    # which adaptive execution may change on one side
+    return u.repartition(*key).select("*", F.sum("_aw").over(run).alias("cum__aw"), F.sum("_ad").over(run).alias("cum__ad"))
 
 
 def _ranked(bids_v: DataFrame, asks_v: DataFrame, groups: DataFrame, alias: str, *, pair_cap: int, thresholds: int,

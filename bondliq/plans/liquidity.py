@@ -69,18 +69,20 @@ def liquidity_table(
     otc: DataFrame,
     bonds: DataFrame,
     weights: DataFrame | Mapping[str, float],
-    anchor: str,
+    anchor: str | None,
     *,
     zero_policy: str = "product",
     index_digits: int | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """The 33-column result for one anchor date (``yyyyMMdd`` or ``yyyy-MM-dd``).
+    """The 33-column result for one anchor date (``yyyyMMdd`` or ``yyyy-MM-dd``), or for the
+    dates in the first column of ``also`` (``anchor`` is None then).
 
     ``index_digits`` rounds the index (``pow`` of the JVM and of C math
     libraries can differ in the last bit; a cross-engine comparison rounds).
     """
     w = weights_dict(weights)
-    return indexed(ranked(merged_metrics(tsq, otc, bonds, anchor)), w, zero_policy, index_digits)
+    return indexed(ranked(merged_metrics(tsq, otc, bonds, anchor, also=also)), w, zero_policy, index_digits)
 
 
 def indexed(m: DataFrame, w: Mapping[str, float], zero_policy: str = "product", index_digits: int | None = None) -> DataFrame:

@@ -124,7 +124,7 @@ def _sink_full_refresh(i: Inputs) -> DataFrame:
     m = materialize(i.tsq_metrics())
     sinks.write_full_refresh(m, path)
     sinks.write_full_refresh(m, path)
-    return i.spark.read.parquet(path)
+    return sinks.read_table(i.spark, path)
 
 
 def _sink_parquet_csv(i: Inputs) -> DataFrame:
@@ -157,7 +157,7 @@ def _daily_run(i: Inputs) -> DataFrame:
     fx.exchange_quotes_raw(i.spark, i.sf).write.mode("overwrite").option("header", "true").csv(paths.exchange)
     fx.otc_quotes_raw(i.spark, i.sf).write.mode("overwrite").option("header", "true").csv(paths.otc)
     out = run_day(i.spark, paths, fx.WEIGHTS, staging_path(i.spark, "liquidity_day"), index_digits=INDEX_DIGITS)
-    return sinks.read_dated(i.spark, out.liquidity)
+    return out.read(i.spark, out.liquidity).select(*schemas.LIQUIDITY_COLUMNS)
 
 
 def _liq_skip_zero(i: Inputs) -> DataFrame:

@@ -1,20 +1,23 @@
 """K1-K3, K5, K6: result writers.
 
 All writes are distributed (no ``coalesce(1)``, nothing collected to the
-driver) and fail loudly; the old sink swallowed errors.
+driver) and fail loudly; the old sink swallowed errors. K1 and K2 publish through a
+``Store``: readers see the old table or the new one, never a part of either.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bondliq import schemas
+from bondliq.sinks.store import Store
 
 METRICS_COLUMNS = [f.name for f in schemas.MARKET_METRICS.fields]
+#: the one table of a store that ``write_full_refresh`` or ``write_replace_date`` keeps
+TABLE = "data"
 
 
 def with_audit(df: DataFrame, column: str = "upsert_time") -> DataFrame:
@@ -22,67 +25,47 @@ def with_audit(df: DataFrame, column: str = "upsert_time") -> DataFrame:
     return df.withColumn(column, F.current_timestamp())
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's file system of ``path``, and a maker of its paths."""
-    jvm = spark.sparkContext._jvm
-    make = jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
-
-
-def write_full_refresh(df: DataFrame, path: str, fmt: str = "parquet", keep: tuple[str, ...] = ()) -> None:
+def write_full_refresh(df: DataFrame, path: str, keep: tuple[str, ...] = ()) -> None:
     """K1: replace the whole market-metrics table (truncate + insert).
 
-    The new version is written in full beside the old one and published last,
-    by renaming the old one aside and the new one into its place; a write that
-    fails leaves the old table as it was. (Spark's own overwrite deletes first.)
-    If the job dies between the two renames, the old version is in
-    ``<path>.old-*``. ``keep`` adds extra columns (e.g. the audit column).
+    The new version is written in full and published last, by one manifest; a write that
+    fails, or dies at any moment, leaves the old table as it was. ``keep`` adds extra
+    columns (e.g. the audit column). Read it with ``read_table``.
     """
-    path = path.rstrip("/")
-    tag = uuid.uuid4().hex[:12]
-    new, old = f"{path}.new-{tag}", f"{path}.old-{tag}"
-    fs, make = _files(df.sparkSession, path)
-    try:
-        df.select(*METRICS_COLUMNS, *keep).write.format(fmt).option("header", "true").save(new)
-    except Exception:
-        fs.delete(make(new), True)
-        raise
-    if fs.exists(make(path)) and not fs.rename(make(path), make(old)):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(make(new), make(path)):
-        raise OSError(f"cannot publish {new}")
-    fs.delete(make(old), True)
+    store = Store(df.sparkSession, path)
+    store.commit({TABLE: store.write(df.select(*METRICS_COLUMNS, *keep), TABLE)})
+    store.vacuum()
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``write_full_refresh`` has published last."""
+    return Store(spark, path).read(TABLE)
+
+
+def iso_date(date: str) -> str:
+    """yyyy-MM-dd of yyyyMMdd or yyyy-MM-dd."""
+    return f"{date[:4]}-{date[4:6]}-{date[6:]}" if len(date) == 8 and date.isdigit() else date
 
 
 def write_replace_date(df: DataFrame, path: str, date_col: str = "anchor_date", date: str | None = None) -> None:
     """K2: replace only the anchor dates present in ``df``.
 
-    Partitioned by ``date_col`` with dynamic partition overwrite: other dates
-    stay untouched, and the date is replaced at the end of the job (a failed
-    run leaves the previous version in place, unlike delete-then-insert).
+    Other dates stay untouched, and all dates of ``df`` are switched at once, after the write
+    (a failed run leaves the previous version in place, unlike delete-then-insert).
     ``date`` (yyyy-MM-dd or yyyyMMdd) names the date that the run computes: if
-    the frame has no row of it, its old rows go as well.
+    the frame has no row of it, its old rows go as well. Read it with ``read_dated``.
     """
-    written = Observation("replaced date")
-    if date is not None:
-        date = f"{date[:4]}-{date[4:6]}-{date[6:]}" if len(date) == 8 and date.isdigit() else date
-        own = F.count(F.when(F.col(date_col).cast("string") == date, F.lit(1)))
-        df = df.observe(written, own.alias("rows"))
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")  # this write only, not the session
-        .partitionBy(date_col)
-        .parquet(path)
-    )
-    if date is not None and not written.get["rows"]:
-        fs, make = _files(df.sparkSession, path)
-        fs.delete(make(f"{path.rstrip('/')}/{date_col}={date}"), True)
-
-
-def read_dated(spark, path: str, columns=None) -> DataFrame:
-    """Read back a date-partitioned table in the fixed column order. A table whose
-    every date is empty reads as empty."""
-    df = spark.read.schema(schemas.LIQUIDITY).option("basePath", path).parquet(path)
+    store = Store(df.sparkSession, path)
+    gone = {iso_date(date): None} if date is not None else {}
+    store.commit({TABLE: gone | store.write_parts(df, TABLE, date_col)})
+    store.vacuum()
+
+
+def read_dated(spark: SparkSession, path: str, columns=None, dates: Iterable[str] | None = None) -> DataFrame:
+    """Read back a date-partitioned table in the fixed column order, or only some ``dates`` of
+    it. A table whose every date is empty reads as empty."""
+    parts = None if dates is None else [iso_date(d) for d in dates]
+    df = Store(spark, path).read(TABLE, schemas.LIQUIDITY, parts)
     return df.select(*(columns or schemas.LIQUIDITY_COLUMNS))
 
 

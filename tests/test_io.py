@@ -51,21 +51,20 @@ def test_run_day_and_replace_date(spark):
     a = _stage(spark, root, "20200131")
     b = _stage(spark, root, "20200130", bond7_days=18)
     o = daily.run_days(spark, root, ["2020-01-31", "20200130"], golden.WEIGHTS, out)
-    first = {r["id"]: r["liq_index"] for r in sinks.read_dated(spark, o.liquidity)
-             .where("anchor_date = DATE'2020-01-31'").collect()}
+    first = {r["id"]: r["liq_index"] for r in o.read(spark, o.liquidity, ["20200131"]).collect()}
     # rerun of the first date: replaced, not duplicated; the other date untouched
     daily.run_day(spark, a, golden.WEIGHTS, out)
-    table = spark.read.parquet(o.liquidity)
+    table = o.read(spark, o.liquidity)
     counts = {str(r["anchor_date"]): r["count"] for r in table.groupBy("anchor_date").count().collect()}
     assert counts == {"2020-01-31": 4, "2020-01-30": 4}
-    again = {r["id"]: r["liq_index"] for r in sinks.read_dated(spark, o.liquidity)
+    again = {r["id"]: r["liq_index"] for r in o.read(spark, o.liquidity)
              .where("anchor_date = DATE'2020-01-31'").collect()}
     assert again == first and first[7] == pytest.approx(0.640374873, abs=1e-9)
     older = {r["id"]: r["liq_index"] for r in table.where("anchor_date = DATE'2020-01-30'").collect()}
     assert older[7] == 0.0
-    tsq = spark.read.parquet(o.tsq_metrics)
+    tsq = o.read(spark, o.tsq_metrics)
     assert tsq.columns == [f.name for f in schemas.MARKET_METRICS.fields] + ["upsert_time"]
-    assert sorted(r["id"] for r in spark.read.parquet(o.otc_metrics).collect()) == [2, 3]
+    assert sorted(r["id"] for r in o.read(spark, o.otc_metrics).collect()) == [2, 3]
 
 
 def test_streaming_trigger_runs_each_new_date_once(spark):
@@ -77,7 +76,7 @@ def test_streaming_trigger_runs_each_new_date_once(spark):
     _stage(spark, root, "20200130", bond7_days=18)
     q = daily_trigger.start(spark, root, golden.WEIGHTS, out, ckpt)
     q.awaitTermination(600)
-    table = spark.read.parquet(daily.outputs(out).liquidity)
+    table = daily.outputs(out).read(spark, daily.outputs(out).liquidity)
     counts = {str(r["anchor_date"]): r["count"] for r in table.groupBy("anchor_date").count().collect()}
     assert counts == {"2020-01-31": 4, "2020-01-30": 4}
 
@@ -106,9 +105,9 @@ def test_run_day_repeated_bond_id_keeps_one_row_per_key(spark):
     raw = csvsrc.read_bonds(spark, paths.bonds)
     assert duplicate_keys(raw.where("id is not null"), ["id"]).collect() == [Row(id=1, rows=2)]
     o = daily.run_day(spark, paths, golden.WEIGHTS, out)
-    tsq = {r["id"]: r["isin"] for r in spark.read.parquet(o.tsq_metrics).collect()}
+    tsq = {r["id"]: r["isin"] for r in o.read(spark, o.tsq_metrics).collect()}
     assert tsq[1] == "XS01" and len(tsq) == 3
-    lt = spark.read.parquet(o.liquidity)
+    lt = o.read(spark, o.liquidity)
     assert lt.count() == lt.select("id", "anchor_date").distinct().count() == 4
     # the fan-out is kept in the aggregates, as in production: 5 bond rows covered
     assert {r["total_bonds"] for r in lt.collect()} == {5}
@@ -125,3 +124,65 @@ def test_csv_reader_takes_columns_by_name(spark):
     assert row["date"] == dt.datetime(2020, 1, 1, 15, 30)
     with pytest.raises(ValueError, match="missing"):
         csvsrc.read_bonds(spark, path)
+
+
+def test_backfill_in_one_plan_equals_single_runs(spark):
+    base = tempfile.mkdtemp(prefix="bondliq-fill-")
+    root = f"{base}/archive"
+    for anchor, days in (("20200131", 19), ("20200130", 18), ("20200129", 5)):
+        _stage(spark, root, anchor, bond7_days=days)
+    both = daily.run_days(spark, root, ["2020-01-29", "2020-01-31", "20200130"], golden.WEIGHTS, f"{base}/both")
+    for anchor in ("20200129", "20200131", "20200130"):
+        single = daily.run_day(spark, day_inputs(root, anchor), golden.WEIGHTS, f"{base}/single")
+
+    def rows(out, table):
+        return sorted(str(r) for r in out.read(spark, table).drop("upsert_time").collect())
+
+    for table in (both.liquidity, both.tsq_metrics, both.otc_metrics):
+        assert rows(both, table) == rows(single, table), table
+    assert len(rows(both, both.liquidity)) == 12
+    assert len(both.read(spark, both.liquidity, ["2020-01-30"]).collect()) == 4
+
+
+def test_trigger_waits_for_late_files_and_takes_an_empty_bond_list(spark):
+    import shutil
+
+    base = tempfile.mkdtemp(prefix="bondliq-late-")
+    root, out, ckpt = f"{base}/archive", f"{base}/out", f"{base}/ckpt"
+    full = _stage(spark, f"{base}/made", "20200131")
+
+    def arrive(kind):
+        target = getattr(day_inputs(root, "20200131"), kind)
+        shutil.copytree(getattr(full, kind), target)
+
+    def trigger():
+        daily_trigger.start(spark, root, golden.WEIGHTS, out, ckpt).awaitTermination(600)
+        return daily.outputs(out).read(spark, daily.outputs(out).liquidity).count()
+
+    os.makedirs(f"{root}_20200131")
+    arrive("bonds")
+    assert trigger() == 0  # the quotes are not there yet
+    arrive("otc")
+    assert trigger() == 0
+    arrive("exchange")
+    assert trigger() == 4
+    # a date whose bond list has no rows is run as well: it clears the date's old rows
+    empty = day_inputs(root, "20200130")
+    _stage(spark, root, "20200130")
+    assert trigger() == 8
+    shutil.rmtree(empty.bonds)
+    os.makedirs(empty.bonds)
+    with open(f"{empty.bonds}/part-1.csv", "w") as f:
+        f.write("id,isin_code,usd_volume,date_of_end_placing,maturity_date\n")
+    assert trigger() == 4
+
+
+def test_staged_inputs_are_removed(spark):
+    from bondliq.session import shared_dir
+
+    base = tempfile.mkdtemp(prefix="bondliq-scratch-")
+    paths = _stage(spark, f"{base}/archive", "20200131")
+    folder = f"{shared_dir(spark)}/staged".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    daily.run_day(spark, paths, golden.WEIGHTS, f"{base}/out")
+    assert set(os.listdir(folder)) <= before
