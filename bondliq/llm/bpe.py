@@ -35,7 +35,7 @@ _WS = re.escape(T.WHITE_SPACE)
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 DECODE_BLOCK = 1 << 20
 #: entries of a generation of the memo of chunks; the memo of split pieces is larger
-CHUNK_ENTRIES = 150_000
+CHUNK_ENTRIES = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -195,6 +195,8 @@ class BPE:
     def _ids(self, text: str) -> bytes:
         """Ids of any stretch of text: added tokens, then split pieces."""
         piece = self.pieces.__getitem__
+        if text.isascii() and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return piece(text)  # a word: the split pattern would give it back whole
         if not self.special or not self.special.search(text):
             return b"".join(map(piece, self.split.findall(text)))
         out = []

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bondliq.llm.common import written
+from bondliq.llm.common import let_go, written
 
 
 def _down(edges: DataFrame) -> DataFrame:
@@ -26,18 +26,24 @@ def _state(edges: DataFrame):
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b: long) -> (node, root) for every node that has a smaller one in
-    its component; ``root`` is the smallest id reachable."""
+    its component; ``root`` is the smallest id reachable. The tables of earlier rounds are
+    deleted as soon as the next one is written; ``let_go`` of the result deletes the last."""
+    spark = edges.sparkSession
     now = written(_down(edges), "edges")
     state = _state(now)
     while state["n"]:
         lowest = now.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("low"))
         large = _down(now.join(lowest, F.col("b") == F.col("k"), "left").select("a", F.coalesce("low", "b").alias("b")))
         large = written(large, "edges")
+        let_go(spark, now)
         lowest = large.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("low"))
         met = large.join(lowest, F.col("a") == F.col("k")).select("a", "b", "low")
         ends = F.explode(F.array(F.col("a"), F.col("b")))
         now = written(_down(met.select(ends.alias("a"), F.col("low").alias("b"))), "edges")
+        let_go(spark, large)
         before, state = state, _state(now)
         if tuple(state) == tuple(before):
             break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    out = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    out.scratch = now.scratch
+    return out

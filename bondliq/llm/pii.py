@@ -156,18 +156,18 @@ def bootstrap(spans: DataFrame, rounds: int = 3, min_seeds: int = 5, accept: flo
         F.struct(F.lit("R").alias("side"), F.col("right").alias("word")))).alias("c")).where("c.word <> ''")
     # the pattern-instance graph: how often a value stands in a context
     graph = written(near.groupBy(F.xxhash64("c.side", "c.word").alias("pattern"), "slot").agg(
-        F.count("*").alias("n"), F.max("kind").alias("kind")), "pii-graph")
-    seeded = graph.where("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds)
+        F.count("*").alias("n"), F.array_sort(F.collect_set("kind")).alias("kinds")), "pii-graph")  # a value may seed several kinds
+    seeded = graph.select("pattern", F.explode("kinds").alias("kind")).groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds)
     seeded = written(seeded, "pii-patterns")
     # only contexts of seeds matter from here on
     graph = written(graph.join(seeded.select("pattern", F.col("kind").alias("as_kind"), "seeds"), "pattern"), "pii-edges")
-    seed = F.when(F.col("kind") == F.col("as_kind"), 1.0).when(F.col("kind").isNotNull(), 0.0)
+    seed = F.when(F.array_contains("kinds", F.col("as_kind")), 1.0).when(F.size("kinds") > 0, 0.0)
     scored = graph.select("*", F.coalesce(seed, F.lit(0.0)).alias("score"))
     patterns = None
     for _ in range(rounds):
         patterns = written(scored.groupBy("pattern", "as_kind").agg(
             (F.sum(F.col("score") * F.col("n")) / F.sum("n") * (1 - 1 / (1 + F.max("seeds")))).alias("trust")), "pii-trust")
-        values = graph.join(patterns, ["pattern", "as_kind"]).where("kind is null").groupBy("slot", "as_kind").agg(F.max("trust").alias("found"))
+        values = graph.join(patterns, ["pattern", "as_kind"]).where("size(kinds) = 0").groupBy("slot", "as_kind").agg(F.max("trust").alias("found"))
         scored = graph.join(values, ["slot", "as_kind"], "left").select(
             *graph.columns, F.coalesce(seed, F.col("found"), F.lit(0.0)).alias("score"))
     trusted = patterns.where(F.col("trust") >= accept).select("pattern", F.col("as_kind").alias("new_kind"), "trust")
@@ -211,18 +211,19 @@ def report(docs: DataFrame, **settings) -> DataFrame:
 def masked(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets. Spans that
     overlap are replaced together, under the first one's kind. Null texts stay null."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = find(docs, text, **settings)
-    body, names = F.col(text), F.array(*map(F.lit, KINDS))
+    # the caller's columns travel in one, so that no name clashes with those made here
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    found = find(packed, "text", **settings)
+    body, names = F.col("text"), F.array(*map(F.lit, KINDS))
     by_start = F.array_sort(F.transform("every", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     # each span, and the end of those before it: pieces of text between spans are cut once
     ends = F.aggregate(by_start, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,start:int,kind:int>>").alias("cuts")),
                        lambda acc, s: F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(
                            s["start"] >= acc["at"], F.array_append(acc["cuts"], F.struct(acc["at"].alias("at"), s["start"].alias("start"), s["kind"].alias("kind"))))
                            .otherwise(acc["cuts"]).alias("cuts")))
-    hit = keyed(docs.where(body.rlike(ANY)), text).join(found.select(*KEY, ends.alias("_cut")), list(KEY), "left")
+    hit = keyed(packed.where(body.rlike(ANY))).join(found.select(*KEY, ends.alias("_cut")), list(KEY), "left")
     piece = F.transform("_cut.cuts", lambda c: F.concat(
         F.substring(body, c["at"] + 1, c["start"] - c["at"]), F.lit("<"), F.element_at(names, c["kind"]), F.lit(">")))
     clean = F.when(F.col("_cut").isNotNull(), F.concat(F.array_join(piece, ""), F.substring(body, F.col("_cut.at") + 1, F.length(body)))).otherwise(body)
-    rest = docs.where(~F.coalesce(body.rlike(ANY), F.lit(False)))
-    return hit.withColumn(text, clean).select(*columns).unionByName(rest.select(*columns))
+    rest = packed.where(~F.coalesce(body.rlike(ANY), F.lit(False))).select("row.*")
+    return hit.select(*[clean.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]).unionByName(rest)

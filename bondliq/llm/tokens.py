@@ -9,10 +9,9 @@ between white space and the end; such texts are encoded whole.
 from __future__ import annotations
 
 import array
+import os
 import sys
 
-import numpy as np
-
 #: Unicode White_Space, fixed values
 WHITE_SPACE = "".join(map(chr, [
     *range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -20,8 +19,6 @@ ASCII_PAIRS = tuple(c + " " for c in WHITE_SPACE if c < "\x80")
 OTHER_PAIRS = tuple(c + " " for c in WHITE_SPACE if c >= "\x80")
 #: entries of a memo's generation, and the longest chunk kept
 MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
-#: chunks encoded in one call, and what stands between them
-TOGETHER, BETWEEN = 500, " |"
 
 
 def splittable(text: str) -> bool:
@@ -44,6 +41,11 @@ MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 def atoms(chunk: str) -> list[str]:
     """A chunk cut around single line ends and before closing marks: cuts that the
     split patterns make themselves, so a word is encoded once whatever follows it."""
+    if "\n" not in chunk:
+        if chunk[-1].isalnum():
+            return [chunk]
+        core = chunk.rstrip(MARKS)
+        return [core, chunk[len(core):]] if core and core != chunk and core[-1].isalnum() else [chunk]
     lines = chunk.split("\n")
     if any(not x or x[-1] in WHITE_SPACE for x in lines) or any(x[0] in WHITE_SPACE for x in lines[1:]):
         return [chunk]
@@ -90,10 +92,11 @@ def le32(ids) -> bytes:
 class LibraryEncoder:
     """``ids(texts)``: the library's ids of whole texts as little-endian uint32 bytes.
 
-    Chunks that the memo lacks are encoded together, with a separator word between them
-    whose single token shows where they end."""
+    Chunks that the memo lacks are encoded by one call of the library's batch form without
+    offsets."""
 
     def __init__(self, path: str, word_ends: bool = False):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core per task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -103,45 +106,32 @@ class LibraryEncoder:
         self.splittable = (lambda _: True) if word_ends else splittable
         self.memo = Memo(self._one)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.between_id = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        self.marks = {t[0] for t in self.special}
         self.fresh: dict[str, bytes] = {}
+        self.parts: dict[str, list[str]] = {}
 
     def _encode(self, text: str) -> bytes:
         return le32(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _joinable(self, c: str) -> bool:
-        """A space, then no other white space at the edges, no separator, no special token."""
-        return (c[0] == " " and len(c) > 1 and c[1] not in WHITE_SPACE and c[-1] not in WHITE_SPACE
-                and BETWEEN[-1] not in c and not any(t in c for t in self.special))
-
-    def _together(self, some: list[str]) -> dict[str, bytes]:
-        text = BETWEEN.join(some)
-        ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == self.between_id[0])
-        begins, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-        data = ids.tobytes()
-        return {c: data[4 * a:4 * b] for c, a, b in zip(some, begins, ends, strict=True)}
-
     def _atoms(self, chunk: str) -> list[str]:
-        return [chunk] if any(t in chunk for t in self.special) else atoms(chunk)
+        if any(m in chunk for m in self.marks) and any(t in chunk for t in self.special):
+            return [chunk]
+        return atoms(chunk)
 
     def _one(self, chunk: str) -> bytes:
         value = self.fresh.get(chunk)
         if value is not None:
             return value
-        parts = self._atoms(chunk)
+        parts = self.parts.get(chunk) or self._atoms(chunk)
         return b"".join(map(self.memo.__getitem__, parts)) if len(parts) > 1 else self._encode(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         cut = [chunks(x) if x and self.splittable(x) else None for x in texts]
         memo = self.memo
-        new = [c for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old]
-        lacking = [c for c in set().union(*map(self._atoms, new)) if c not in memo and c not in memo.old]
-        self.fresh = {}
-        if len(self.between_id) == 1:
-            plain = [c for c in lacking if self._joinable(c)]
-            for k in range(0, len(plain), TOGETHER):
-                self.fresh |= self._together(plain[k:k + TOGETHER])
+        self.parts = {c: self._atoms(c) for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old}
+        lacking = [c for c in set().union(*self.parts.values()) if c not in memo and c not in memo.old]
+        found = self.tokenizer.encode_batch_fast(lacking, add_special_tokens=False)
+        self.fresh = {c: le32(e.ids) for c, e in zip(lacking, found)}
         return [
             b"".join(map(memo.__getitem__, parts)) if parts else self._encode(text) if text else b""
             for text, parts in zip(texts, cut)

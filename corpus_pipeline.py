@@ -40,19 +40,21 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    # a row is known by its text and id; texts are linked, not ids
-    row = {"_text_key": F.xxhash64("text"), "_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))}
-    rows = docs.where(has_words).withColumns(row)
-    texts = written(rows.select(F.col("_text_key").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "texts")
-    found = jaccard.join(texts, threshold=(80, 100), width=5)
-    first = rows.groupBy("_text_key").agg(F.min(F.struct("_no_id", "_id")).alias("row"))
-    best = first.join(found.select(F.col("doc_id").alias("_text_key"), "component_id"), "_text_key").groupBy("component_id").agg(
-        F.min(F.struct("row._no_id", "row._id", "_text_key")).alias("row")).select("row.*")
+    # the caller's columns travel in one, so that no name clashes with those made here
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text, doc_id = F.col("row").getField("text"), F.col("row").getField("doc_id")
+    has_words = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # texts are linked, not ids; a text is known by two hashes and its length
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"), F.length(text).alias("n"))
+    place = F.struct(doc_id.isNull().alias("no_id"), F.coalesce(doc_id.cast("long"), F.lit(0)).alias("id"))
+    rows = packed.where(has_words).select("row", key.alias("key"), place.alias("place"))
+    texts = rows.groupBy("key").agg(F.first("row.text").alias("text"), F.min("place").alias("place"))
+    texts = written(texts.withColumn("doc_id", F.monotonically_increasing_id()), "texts")
+    found = jaccard.join(texts.select("doc_id", "text"), threshold=(80, 100), width=5)
+    best = texts.drop("text").join(found, "doc_id").groupBy("component_id").agg(F.min(F.struct("place", "key")).alias("kept"))
     # equal rows under one id, or without one, are copies of one another
-    one = rows.dropDuplicates(list(row)).join(best, list(row), "left_semi").select(*columns)
-    blank = docs.where(~has_words)
+    one = rows.join(best.select("kept.*"), ["place", "key"], "left_semi").dropDuplicates(["place", "key"]).select("row.*")
+    blank = docs.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     return one.unionByName(blank.where("doc_id is not null").dropDuplicates(["doc_id", "text"])).unionByName(blank.where("doc_id is null"))
 
 
