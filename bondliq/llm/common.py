@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -53,11 +54,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def let_go(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more."""
+    """Delete written tables that nothing reads any more, and let Spark's cleaner, which goes
+    by what the driver has collected, drop the shuffle files of jobs that are over."""
     jvm = spark.sparkContext._jvm
     for t in tables:
         path = jvm.org.apache.hadoop.fs.Path(t.scratch)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def local_path(path: str) -> str | None:

@@ -19,6 +19,8 @@ ASCII_PAIRS = tuple(c + " " for c in WHITE_SPACE if c < "\x80")
 OTHER_PAIRS = tuple(c + " " for c in WHITE_SPACE if c >= "\x80")
 #: entries of a memo's generation, and the longest chunk kept
 MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
+#: code points of the texts that are cut into chunks at once, and chunks encoded in one call
+AT_ONCE, TOGETHER = 4_000_000, 2_000
 
 
 def splittable(text: str) -> bool:
@@ -126,12 +128,25 @@ class LibraryEncoder:
         return b"".join(map(self.memo.__getitem__, parts)) if len(parts) > 1 else self._encode(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
+        out, some, size = [], [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text or "")
+            if size >= AT_ONCE:
+                out += self._some(some)
+                some, size = [], 0
+        return out + self._some(some)
+
+    def _some(self, texts: list[str | None]) -> list[bytes]:
         cut = [chunks(x) if x and self.splittable(x) else None for x in texts]
         memo = self.memo
         self.parts = {c: self._atoms(c) for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old}
         lacking = [c for c in set().union(*self.parts.values()) if c not in memo and c not in memo.old]
-        found = self.tokenizer.encode_batch_fast(lacking, add_special_tokens=False)
-        self.fresh = {c: le32(e.ids) for c, e in zip(lacking, found)}
+        self.fresh = {}
+        for k in range(0, len(lacking), TOGETHER):
+            some = lacking[k:k + TOGETHER]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.fresh |= {c: le32(e.ids) for c, e in zip(some, found)}
         return [
             b"".join(map(memo.__getitem__, parts)) if parts else self._encode(text) if text else b""
             for text, parts in zip(texts, cut)
