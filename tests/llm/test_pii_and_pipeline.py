@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bondliq.llm import pii
@@ -135,3 +136,33 @@ def test_masking_text_in_stage_is_idempotent(spark):
     docs = spark.createDataFrame([(1, "see 10.0.0.1 and 10.0.0.1")], "doc_id long, text string")
     once = pii.masked(docs)
     assert [r["text"] for r in once.collect()] == ["see <ip> and <ip>"] == [r["text"] for r in pii.masked(once).collect()]
+
+
+CLASHING = ["_id", "_text_key", "_no_id", "text_hash", "text_chars", "_cut", "_text", "_tie", "row", "key", "place", "kind", "base", "every"]
+
+
+@pytest.mark.parametrize("stage", ["quality", "language", "near_dup", "pii"])
+def test_stages_keep_clashing_columns(spark, sf, stage):
+    """Columns that bear the names used inside, as strings, come back as they were."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    clash = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in CLASHING})
+    run = dict(corpus_pipeline.STAGES)[stage]
+    got = run(spark, clash, sf).select("doc_id", *CLASHING).collect()
+    assert got and all(r[c] == f"{c} of {r['doc_id']}" for r in got for c in CLASHING)
+    plain = run(spark, docs, sf)
+    assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in plain.select("doc_id").collect())
+
+
+def test_a_value_that_seeds_two_kinds_is_a_seed_of_both(spark):
+    from bondliq.llm import pii
+
+    def row(i, kind, value, left):
+        return (i, 10, kind, 0, 5, value, left, "")
+
+    # one value stands as a card and as a phone number; each kind has five seeds with it
+    rows = [row(i, "card", f"c{i}", "cardno") for i in range(4)] + [row(9, "card", "both", "cardno")]
+    rows += [row(20 + i, "phone", f"p{i}", "callme") for i in range(4)] + [row(29, "phone", "both", "callme")]
+    rows += [row(40, "slot", "new1", "cardno"), row(41, "slot", "new2", "callme")]
+    spans = spark.createDataFrame(rows, "text_hash long, text_chars int, kind string, start int, stop int, value string, left string, right string")
+    found = {(r["text_hash"], r["kind"]) for r in pii.bootstrap(spans, accept=0.3).collect()}
+    assert found == {(40, "card"), (41, "phone")}
