@@ -22,7 +22,8 @@ tables; folders are fresh per call.
 Defined results: null, empty and blank texts consist of the end alone; repeated rows
 count and are scored one by one; rows without id are scored but not learned from;
 without training rows every token has probability 1; other columns are not kept; an
-empty table gives an empty table. Word ids take up to 31 bits.
+empty table gives an empty table. Counts take up to 64 bits. Word ids take up to 31 bits;
+training on more distinct words than that raises ValueError.
 """
 
 from __future__ import annotations
@@ -83,6 +84,18 @@ def restored(code: np.ndarray) -> np.ndarray:
     return code.astype(np.float64) * (LOWEST / STEPS)
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits where all of a part fit, else in 64."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.int64)
+
+
+def check_ids(words: int) -> None:
+    """Two word ids share a key of 62 bits; more words than that allows are an error, as
+    pairs would else be taken for one another."""
+    if words > 1 << ID_BITS:
+        raise ValueError(f"{words} distinct words; word ids take {ID_BITS} bits")
+
+
 # --- files --------------------------------------------------------------------
 
 
@@ -273,6 +286,7 @@ def train(docs: DataFrame, parts: int | None = None, min_count: tuple[int, int,
     ranges = Ranges(in_parts(words, ["k"], parts, write_words))
     total = words.agg(F.sum("n").alias("n")).first()["n"] or 0
     let_go(spark, words)
+    check_ids(ranges.n)
     model = Model(Words(folder, "words", ranges), total)
     if not total:
         return model
@@ -330,7 +344,7 @@ def train(docs: DataFrame, parts: int | None = None, min_count: tuple[int, int,
         rest = 10 ** restored(model.words.values(a, "rest", 0, np.uint16))
         p = (n - DISCOUNT) / context + rest * 10 ** model.base(model.words.values(b, "counts", 0, np.int64))
         save(folder, f"pairs-{part:06d}", EliasFano.build(k - k[0]).arrays() | {
-            "prob": quantised(np.log10(p)), "counts": np.minimum(n, (1 << 32) - 1).astype(np.uint32)})
+            "prob": quantised(np.log10(p)), "counts": narrow(n)})
         return k[0], k[-1], len(k)
 
     two = Ranges(in_parts(pairs, ["k"], parts, write_pairs))

@@ -120,3 +120,12 @@ def test_lm_without_training_rows(docs_of):
     rows = lm.score(docs_of([(None, "a b", "en")])).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in rows] == [(3, 0, 0, 0.0)]
     assert lm.score(docs_of([(1, "a", "en")]).where("doc_id = 2")).count() == 0
+
+
+def test_lm_counts_beyond_32_bits_and_too_many_words():
+    big = np.array([1, 2**32 + 5, 2**40], dtype=np.int64)
+    assert lm.narrow(big).tolist() == big.tolist()
+    assert lm.narrow(np.array([2**32 - 1])).dtype == np.uint32
+    lm.check_ids(2**31)
+    with pytest.raises(ValueError):
+        lm.check_ids(2**31 + 1)
