@@ -164,7 +164,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, sample_rows: int
     size, n = sizes[0]["size"], sizes[0]["count"]
     rows, asked = (df.where(F.length("packed") == size) for df in (rows, asked))
     share = min(1.0, sample_rows / n)
-    sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000)).orderBy(
+    sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1 << 53)) < int(share * (1 << 53))).orderBy(
         F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(sample_rows).collect()  # bounded
     x = matrix((r["packed"] for r in sample), dtype) if sample else np.zeros((1, size // np.dtype(dtype).itemsize))
     bits = max(SUBSTRING, bits // SUBSTRING * SUBSTRING)
