@@ -9,6 +9,8 @@ between white space and the end; such texts are encoded whole.
 from __future__ import annotations
 
 import array
+import contextlib
+import gc
 import os
 import sys
 
@@ -83,6 +85,19 @@ class Memo(dict):
         return value
 
 
+@contextlib.contextmanager
+def uncollected():
+    """Memos and cut texts hold no cycles, yet their many objects make the collector run
+    again and again; it waits until a bounded batch is done."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def le32(ids) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     a = array.array("I", ids)
@@ -137,16 +152,26 @@ class LibraryEncoder:
                 some, size = [], 0
         return out + self._some(some)
 
+    @uncollected()
     def _some(self, texts: list[str | None]) -> list[bytes]:
         cut = [chunks(x) if x and self.splittable(x) else None for x in texts]
         memo = self.memo
-        self.parts = {c: self._atoms(c) for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old}
-        lacking = [c for c in set().union(*self.parts.values()) if c not in memo and c not in memo.old]
+        special = any(t in x for x in texts if x for t in self.special)
+        self.parts, lacking = {}, set()
+        for c in set().union(*filter(None, cut)):
+            if c not in memo and c not in memo.old:
+                parts = self._atoms(c) if special else atoms(c)
+                if len(parts) > 1:
+                    self.parts[c] = parts
+                    lacking.update(parts)
+                else:
+                    lacking.add(c)
+        lacking = [c for c in lacking if c not in memo and c not in memo.old]
         self.fresh = {}
         for k in range(0, len(lacking), TOGETHER):
             some = lacking[k:k + TOGETHER]
             found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.fresh |= {c: le32(e.ids) for c, e in zip(some, found)}
+            self.fresh.update(zip(some, [le32(e.ids) for e in found]))
         return [
             b"".join(map(memo.__getitem__, parts)) if parts else self._encode(text) if text else b""
             for text, parts in zip(texts, cut)
