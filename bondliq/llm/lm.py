@@ -3,7 +3,7 @@
 Counts. Words and the end of a text are tokens. Three passes count 1-, 2- and 3-grams of
 the training texts; a task adds up what it has seen, Spark adds up the tasks. An n-gram
 is kept if it occurs ``min_count`` times, and is only counted if its parts were kept;
-with (1, 1, 1), as the query has it, every n-gram of the training texts is kept.
+by default, (1, 1, 1), every n-gram of the training texts is kept.
 
 Levels. Level 1 holds word hashes in order; a word's id is its place. Level 2 holds the
 pairs (a, b) in order as one rising sequence, and level 3 the triples. A triple's last
@@ -43,8 +43,8 @@ from bondliq.llm.elias_fano import EliasFano
 from bondliq.llm.token_files import _store
 from bondliq.llm.tokens import Memo
 
-#: floors of callers that want a pruned model, and of those that want all n-grams
-MIN_COUNT, EVERY = (1, 2, 3), (1, 1, 1)
+#: floors that keep all n-grams; callers that want a pruned model pass higher ones
+EVERY = (1, 1, 1)
 DISCOUNT, SMOOTH = 0.75, 0.1
 END = np.uint64(xxhash.xxh64_intdigest(b"", seed=1))
 #: tokens worked on at once, and the quantised range of log10
@@ -264,7 +264,7 @@ def _previous(x: np.ndarray, fill=-1) -> np.ndarray:
     return np.concatenate([[fill], x[:-1]]) if len(x) else x
 
 
-def train(docs: DataFrame, parts: int | None = None, min_count: tuple[int, int, int] = MIN_COUNT) -> Model:
+def train(docs: DataFrame, parts: int | None = None, min_count: tuple[int, int, int] = EVERY) -> Model:
     """Train on ``docs`` (text)."""
     spark = docs.sparkSession
     folder = fresh_path(spark, "lm")
@@ -431,7 +431,7 @@ def token_scores(model: Model, keys: np.ndarray, row: np.ndarray) -> tuple[np.nd
     return counts, base, score
 
 
-def score(docs: DataFrame, modulus: int = 10, min_count: tuple[int, int, int] = MIN_COUNT) -> DataFrame:
+def score(docs: DataFrame, modulus: int = 10, min_count: tuple[int, int, int] = EVERY) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score; learned from the rows whose id's crc32 is not
     divisible by ``modulus``."""
