@@ -211,3 +211,24 @@ def test_several_hot_days_on_table_data_against_duckdb(spark):
         SELECT d, quantile_disc((ask - bid) / ((ask + bid) / 2), 0.5) FROM b JOIN a USING (d, prov) GROUP BY d
         """).fetchall())
     assert got == exp and len(got) == 3
+
+
+@pytest.mark.parametrize("key_values", [20_000, 60, 1])
+def test_hot_day_is_counted_key_by_key(spark, monkeypatch, key_values):
+    """A day too large for a task: no key that fits a row goes through a range split."""
+    from bondliq.operators import pair_median as pm
+
+    split = []
+    original = pm.cumulative_within
+    monkeypatch.setattr(pm, "cumulative_within", lambda df, *a, **kw: (split.append(1), original(df, *a, **kw))[1])
+    monkeypatch.setattr(pm, "KEY_VALUES", key_values)
+    rnd = random.Random(9)
+    bids, asks = [], []
+    for prov in range(12):  # one key of more than 60 values
+        for _ in range(80 if prov == 3 else rnd.randint(0, 25)):
+            bids.append((7, prov, "2020-01-01", round(rnd.uniform(90, 100), 1)))
+            asks.append((7, prov, "2020-01-01", round(rnd.uniform(95, 110), 1)))
+    b, a = _frames(spark, bids, asks)
+    got = pair_spread_medians(b, a, "m", pair_cap=50, partitions=3, hot_rows=1).collect()
+    assert {(r["bond"], str(r["date"])): r["m"] for r in got} == _brute(bids, asks)
+    assert bool(split) == (key_values < 20_000)
