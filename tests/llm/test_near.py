@@ -141,3 +141,17 @@ def test_op8_edge_cases(docs_of):
     rows = jaccard.join(docs_of([(None, "a b c d e", "en"), (1, "a b c d e", "en"), (2, None, "en"), (3, "", "en")])).collect()
     assert sorted((tuple(r) for r in rows), key=str) == sorted([(None, 2, None), (1, 2, 1), (2, 0, 2), (3, 0, 3)], key=str)
     assert jaccard.join(docs_of([(1, "x", "en")]).where("doc_id = 0")).count() == 0
+
+
+def test_op8_large_region_of_unrelated_texts_is_not_split(docs_of, monkeypatch):
+    """A shared passage chains texts that have no partner: no block of them meets another."""
+    monkeypatch.setattr(jaccard, "LEAF", 2500)
+    seen = []
+    joined = jaccard._joined
+    monkeypatch.setattr(jaccard, "_joined", lambda rows, large, n, t: (seen.append(n), joined(rows, large, n, t))[1])
+    passage = " ".join(f"shared{i}" for i in range(40))
+    texts = [passage + " " + " ".join(f"own{k}x{i}" for i in range(80)) for k in range(60)]
+    texts += [texts[k] + " more" for k in (3, 4)]  # two partners
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs_of([(i, t, "en") for i, t in enumerate(texts)])).collect()}
+    assert got == {i: {60: 3, 61: 4}.get(i, i) for i in range(62)}
+    assert seen == [0]
