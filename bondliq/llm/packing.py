@@ -37,8 +37,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
     """Token pieces of ``docs`` (doc_id, text), with their partition and their place
     among that partition's pieces of the same length; written."""
+    shared = docs.sparkSession.sparkContext.broadcast(library_encoder(vocabulary, True))  # its path alone is sent
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = library_encoder(vocabulary, True)
+        encoder = shared.value
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         part = TaskContext.get().partitionId()

@@ -1,6 +1,7 @@
 """op1, op2, op7: against the tokenizers library, and exact round trips."""
 
 import hashlib
+import pickle
 import random
 import zlib
 
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 from bondliq.llm import bpe, packing, token_files
 from bondliq.llm.common import fresh_path
 from bondliq.llm.queries import BYTE_BPE, QUERIES, WORD_BPE
-from bondliq.llm.tokens import library_encoder
+from bondliq.llm.tokens import LibraryEncoder, library_encoder
 
 
 def ids_of(data):
@@ -36,6 +37,39 @@ def test_encoder_equals_library_on_random_texts(library):
         assert model.decode(np.array(want, dtype=np.uint32)).decode() == text
 
 
+@pytest.mark.parametrize("path, word_ends", [(BYTE_BPE, False), (WORD_BPE, True)])
+def test_letter_runs_go_to_the_model_at_once(path, word_ends, monkeypatch):
+    rng = random.Random(11)
+    letters = "aEitsZ\u00c9\u00dfx\u00ff\u00d7\u00b5" + "    ..,'\n" + "1\u0301\u0130\u0958"
+    texts = ["", " ", " x", "x ", "<|endoftext|>", "a<|endoftext|>.", "'s it's", "y" * 300 + "."]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(1500)]
+    library, encoder = Tokenizer.from_file(path), LibraryEncoder(path, word_ends)
+    monkeypatch.setattr("bondliq.llm.tokens.MEMO_ENTRIES", 300)
+    for k in range(0, len(texts), 40):
+        some = texts[k:k + 40]
+        assert [ids_of(x) for x in encoder.ids(some)] == [library.encode(x, add_special_tokens=False).ids for x in some]
+        assert len(encoder.young) < 300 and not any(len(x) > 64 for x in (*encoder.young, *encoder.old))
+
+    # words and words with closing marks need no call of the whole library once the marks are known
+    class Model:
+        def encode(self, *_, **__):
+            raise AssertionError("a run of letters was encoded whole")
+
+        encode_batch_fast = encode
+
+    encoder.ids(["a. b,"])
+    encoder.tokenizer = Model()
+    text = "Unmet \u00c9t\u00e9words, ofletters\u00df."
+    assert ids_of(encoder.ids([text])[0]) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_broadcast_encoder_is_its_path():
+    encoder = library_encoder(WORD_BPE, True)
+    encoder.ids(["some words kept"])
+    data = pickle.dumps(encoder)
+    assert len(data) < 1000 and not pickle.loads(data).young
+
+
 def test_split_pattern_agrees_on_all_code_points(library):
     model = bpe.model(BYTE_BPE)
     for low in range(0, 0x20000, 512):
