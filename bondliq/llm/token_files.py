@@ -57,10 +57,11 @@ def write(df: DataFrame, path: str, vocabulary: str, end_id: int, parts: int | N
     (part, n_docs, n_tokens, width, base)."""
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = spark.sparkContext.broadcast(library_encoder(vocabulary))  # its path alone is sent
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        encoder = library_encoder(vocabulary)
+        encoder = shared.value
         width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], dtype="<u4").tobytes()
         store, there = _store(path)

@@ -38,13 +38,12 @@ def test_encoder_equals_library_on_random_texts(library):
 
 
 @pytest.mark.parametrize("path, word_ends", [(BYTE_BPE, False), (WORD_BPE, True)])
-def test_letter_runs_go_to_the_model_at_once(path, word_ends, monkeypatch):
+def test_letter_runs_go_to_the_model_at_once(path, word_ends):
     rng = random.Random(11)
     letters = "aEitsZ\u00c9\u00dfx\u00ff\u00d7\u00b5" + "    ..,'\n" + "1\u0301\u0130\u0958"
     texts = ["", " ", " x", "x ", "<|endoftext|>", "a<|endoftext|>.", "'s it's", "y" * 300 + "."]
     texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(1500)]
-    library, encoder = Tokenizer.from_file(path), LibraryEncoder(path, word_ends)
-    monkeypatch.setattr("bondliq.llm.tokens.MEMO_ENTRIES", 300)
+    library, encoder = Tokenizer.from_file(path), LibraryEncoder(path, word_ends, 300)
     for k in range(0, len(texts), 40):
         some = texts[k:k + 40]
         assert [ids_of(x) for x in encoder.ids(some)] == [library.encode(x, add_special_tokens=False).ids for x in some]
