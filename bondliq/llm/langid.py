@@ -36,6 +36,8 @@ from bondliq.llm.tokens import Memo
 LONGEST = 4
 WORD = re.compile(r"[^\W\d_]+")
 SHARPNESS = 4.0
+#: words of a generation of a model's memo, of which each worker has one
+MEMO_WORDS = 100_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -61,10 +63,12 @@ class Model:
         self.langs = langs
         self.hashes, counts = words
         self.words = self._logs(counts, totals[0])
-        self.tables = [{}] + [dict(zip(t, map(tuple, self._logs(np.array(list(t.values())).reshape(len(t), len(langs)), totals[n]).tolist())))
+        # n-gram -> its row in the logs of its length: numbers in arrays, as a worker holds all of them
+        self.grams = [{}] + [{g: i for i, g in enumerate(t)} for t in by_length[1:]]
+        self.logs = [None] + [self._logs(np.array(list(t.values())).reshape(len(t), len(langs)), totals[n])
                               for n, t in enumerate(by_length[1:], 1)]
-        self.memo = Memo(self._word, 200_000)
-        self.unknown = (0.0,) * len(langs)
+        self.memo = Memo(self._word, MEMO_WORDS)
+        self.unknown = np.zeros(len(langs)).tobytes()
 
     @staticmethod
     def _logs(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -79,21 +83,22 @@ class Model:
         at = int(self.hashes.searchsorted(h))
         return at if at < len(self.hashes) and self.hashes[at] == h else -1
 
-    def _word(self, word: str) -> tuple:
+    def _word(self, word: str) -> bytes:
+        """The word's score in each language, as the bytes of an array."""
         at = self.known(word)
         if at >= 0:
-            return tuple(self.words[at].tolist())
+            return self.words[at].tobytes()
         for n in range(LONGEST, 0, -1):
-            found = [x for g in grams(word, n) if (x := self.tables[n].get(g)) is not None]
+            found = [x for g in grams(word, n) if (x := self.grams[n].get(g)) is not None]
             if found:
-                return tuple([sum(x) / len(found) for x in zip(*found)])
+                return np.array([sum(x) / len(found) for x in zip(*self.logs[n][found].tolist())]).tobytes()
         return self.unknown
 
     def classify(self, text: str | None) -> tuple[str, float]:
         found = Counter(words_of(text))
         if not found or not self.langs:
             return "und", 0.0
-        scores = np.array([self.memo[w] for w in found])
+        scores = np.frombuffer(b"".join([self.memo[w] for w in found])).reshape(len(found), -1)
         weights = np.fromiter(found.values(), float, len(found))
         mean = SHARPNESS * (weights @ scores) / weights.sum()
         share = np.exp(mean - mean.max())

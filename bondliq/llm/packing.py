@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 from bondliq.llm.common import written
 from bondliq.llm.tokens import library_encoder
 
+#: entries of a generation of the encoder's memo; the pipeline's workers hold it beside large heaps
+ENTRIES = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
     """Token pieces of ``docs`` (doc_id, text), with their partition and their place
     among that partition's pieces of the same length; written."""
-    shared = docs.sparkSession.sparkContext.broadcast(library_encoder(vocabulary, True))  # its path alone is sent
+    shared = docs.sparkSession.sparkContext.broadcast(library_encoder(vocabulary, True, ENTRIES))  # its path alone is sent
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = shared.value

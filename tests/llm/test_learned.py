@@ -129,3 +129,23 @@ def test_lm_counts_beyond_32_bits_and_too_many_words():
     lm.check_ids(2**31)
     with pytest.raises(ValueError):
         lm.check_ids(2**31 + 1)
+
+
+def test_language_model_keeps_numbers_in_arrays():
+    langs, words = ["de", "en"], {"haus": [3, 0], "house": [0, 4]}
+    tables = [{} for _ in range(langid.LONGEST + 1)]
+    for w, n in words.items():
+        for size in range(1, langid.LONGEST + 1):
+            for g in langid.grams(w, size):
+                tables[size][g] = [x + y for x, y in zip(tables[size].get(g, [0, 0]), n)]
+    hashes = np.array([langid.hashed(w) for w in words], dtype=np.uint64)
+    order = np.argsort(hashes)
+    totals = np.array([[3.0, 4.0]] + [np.sum(list(t.values()), axis=0) for t in tables[1:]])
+    model = langid.Model(langs, (hashes[order], np.array(list(words.values()), float)[order]), tables, totals)
+    logs = [model._logs(np.array(list(t.values())), totals[n]) if n else None for n, t in enumerate(tables)]
+    found = [logs[4][list(tables[4]).index(g)] for g in langid.grams("mouse", 4) if g in tables[4]]
+    assert np.frombuffer(model._word("mouse")).tolist() == [sum(x) / len(found) for x in zip(*found)]
+    assert model.classify("Mouse haus, Haus") == model.classify("haus haus mouse") and model.classify("qq")[1] == 0.5
+    # a worker holds the whole model and memo: no object for each number
+    assert all(type(x) is int for t in model.grams for x in t.values())
+    assert all(type(x) is bytes for x in model.memo.values())
