@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import re
 import zlib
 
@@ -10,6 +11,7 @@ import pytest
 
 from bondliq.llm import langid, lm, quality
 from bondliq.llm.elias_fano import EliasFano
+from bondliq.session import shared_dir
 from tests.conftest import SF01
 
 
@@ -116,6 +118,32 @@ def test_lm_equals_brute_force(spark, docs_of, awkward, sf, case):
         assert r["base_score"] == pytest.approx(w[3], rel=1e-9) and r["score"] == pytest.approx(w[4], abs=3e-4 * w[1])
 
 
+def test_lm_in_many_parts_leaves_no_model(spark, docs_of):
+    """Contexts that go on over several parts; nothing but the result stays on the disk."""
+    docs = docs_of([(i, " ".join(f"the w{i * j % 97} of the x{(i + j) ** 2 % 1009}" for j in range(60)), "en") for i in range(120)])
+    folder = os.path.join(shared_dir(spark).removeprefix("file:"), "llm")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = {parts: sorted(map(tuple, lm.score(docs, parts=parts).collect())) for parts in (1, 9)}
+    assert found[1] == found[9] and len(found[1]) == 120
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before if any(f for *_, f in os.walk(os.path.join(folder, name)))}
+    assert left == {"scores"}
+
+
+def test_lm_runs_are_small_and_whole():
+    rng = np.random.default_rng(3)
+    keys, counts = lm.counted(rng.integers(-(1 << 40), 1 << 40, 200_000))
+    rows = lm.runs(keys, counts, np.array([-(1 << 39), 0, 1 << 39]))
+    assert rows["part"].tolist() == [0, 1, 2, 3] and sum(map(len, [*rows["gaps"], *rows["counts"]])) <= 5 * len(keys)
+    back = [np.cumsum(lm.unpacked(r.gaps, r.n)) + np.uint64(r.first % (1 << 64)) for r in rows.itertuples()]
+    assert (np.concatenate(back).view(np.int64) == keys).all()
+    assert (np.concatenate([lm.unpacked(r.counts, r.n) for r in rows.itertuples()]) == counts).all()
+    far = np.array([np.iinfo(np.int64).min, -1, np.iinfo(np.int64).max])
+    row = next(lm.runs(far, np.array([1, 1 << 40, 2]), np.array([], dtype=np.int64)).itertuples())
+    assert (np.cumsum(lm.unpacked(row.gaps, 3)) + np.uint64(row.first % (1 << 64))).view(np.int64).tolist() == far.tolist()
+    got = lm.added(np.array([5, 3, 5, far[0], far[2]]), np.array([1, 2, 1 << 40, 4, 5]))
+    assert [x.tolist() for x in got] == [[far[0], 3, 5, far[2]], [4, 2, (1 << 40) + 1, 5]]
+
+
 def test_lm_without_training_rows(docs_of):
     rows = lm.score(docs_of([(None, "a b", "en")])).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in rows] == [(3, 0, 0, 0.0)]
