@@ -155,3 +155,46 @@ def test_op8_large_region_of_unrelated_texts_is_not_split(docs_of, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs_of([(i, t, "en") for i, t in enumerate(texts)])).collect()}
     assert got == {i: {60: 3, 61: 4}.get(i, i) for i in range(62)}
     assert seen == [0]
+
+
+@pytest.mark.parametrize("ways", [jaccard.WAYS, 1, 0])
+@pytest.mark.parametrize("threshold", [(85, 100), (80, 100)])
+def test_op8_linked_sets_share_a_part(monkeypatch, threshold, ways):
+    """As many differences as a link allows, at all sizes; without ways to cut, too."""
+    monkeypatch.setattr(jaccard, "WAYS", ways)
+    parts, rng, pairs = jaccard.Parts(threshold), np.random.default_rng(7), 0
+    for n in [*range(1, 120), 333, 1000, 2500]:
+        for _ in range(6):
+            u = rng.integers(0, 2**64, n, dtype=np.uint64)
+            common = jaccard.need(n, threshold)
+            left = int(rng.integers(0, n - common + 1))
+            x, y = np.sort(u[:common + left]), np.sort(np.concatenate([u[:common], u[common + left:]]))
+            if left in (0, n - common) or 2 * left > n - common:  # all on one side, or on both
+                pairs += 1
+                assert len(x) == len(y) == common or np.intersect1d(parts.names(x), parts.names(y)).size
+                assert len(x) == len(y) == common or np.intersect1d(parts.names(x, 3), parts.names(y, 3)).size
+    assert pairs > 100
+
+
+def test_op8_met_is_the_connected_sets():
+    rng = np.random.default_rng(3)
+    for n, names in ((0, 1), (1, 1), (40, 30), (400, 300), (400, 900)):
+        h, node = rng.integers(0, names, n).astype(np.uint64), rng.integers(-60, 200, n)
+        a, b = jaccard.met(h, node)
+        links = [(x, y) for k in range(names) for x in node[h == k].tolist() for y in node[h == k].tolist()]
+        root = roots_of(node.tolist(), links)
+        assert dict(zip(a.tolist(), b.tolist())) == {x: r for x, r in root.items() if x != r}
+
+
+def test_op8_texts_that_share_common_phrases_make_no_region(docs_of, monkeypatch):
+    """Phrases met all over the table chain hardly any texts, so a larger table has no larger regions."""
+    sizes = []
+    refined = jaccard.refined
+    monkeypatch.setattr(jaccard, "refined", lambda members, *rest: (sizes.append(members.count()), refined(members, *rest))[1])
+    rng = random.Random(5)
+    phrases = [" ".join(f"p{k}w{i}" for i in range(6)) for k in range(80)]
+    texts = [" ".join(rng.choice(phrases) if rng.random() < 0.6 else " ".join(f"own{k}x{j}x{i}" for i in range(6)) for j in range(16)) for k in range(150)]
+    texts += [texts[k] + " more" for k in (3, 4)]  # two partners
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs_of([(i, t, "en") for i, t in enumerate(texts)])).collect()}
+    assert got == {i: {150: 3, 151: 4}.get(i, i) for i in range(152)}
+    assert 4 <= sizes[0] < 50
