@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+import bondliq.llm.components as components_module
 from bondliq.llm import jaccard, mih, neardup
 from bondliq.llm.components import components
 
@@ -198,3 +199,17 @@ def test_op8_texts_that_share_common_phrases_make_no_region(docs_of, monkeypatch
     got = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs_of([(i, t, "en") for i, t in enumerate(texts)])).collect()}
     assert got == {i: {150: 3, 151: 4}.get(i, i) for i in range(152)}
     assert 4 <= sizes[0] < 50
+
+
+@pytest.mark.parametrize("task, tables", [(0, 3), (10**6, 2)])
+def test_components_in_rounds_or_one_task(spark, monkeypatch, task, tables):
+    """Rounds end in the same roots as one task, which writes no more than its input and its result."""
+    monkeypatch.setattr(components_module, "TASK", task)
+    made, written = [], components_module.written
+    monkeypatch.setattr(components_module, "written", lambda df, name: (made.append(name), written(df, name))[1])
+    rng = random.Random(9)
+    links = [(rng.randint(-80, 80), rng.randint(-80, 80)) for _ in range(90)] + [(i, i + 1) for i in range(1000, 1080)]
+    root = roots_of({x for link in links for x in link}, links)
+    got = components(spark.createDataFrame([*links, (None, 5), (7, None)], "a long, b long"))
+    assert sorted(tuple(r) for r in got.collect()) == sorted((x, r) for x, r in root.items() if x != r)
+    assert len(made) >= tables and (task == 0 or len(made) == tables)
